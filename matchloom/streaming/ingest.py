@@ -28,18 +28,24 @@ def ingest_stream(rows: DataFrame, checkpoint: str, on_batch: Batch) -> Streamin
 
 
 def upsert_into(path: str, keys: Sequence[str], curate: Callable[[DataFrame], DataFrame] = lambda d: d,
-                keep_known: bool = False, latest: str | None = None) -> Batch:
+                keep_known: bool = False, latest: str | None = None, newest: bool = False) -> Batch:
     """Batch handler that merges curated rows into a lake folder.
 
-    Inside one batch the row with the latest `latest` value wins. Merging by key makes a repeated batch harmless.
+    Inside one batch the row with the latest `latest` value wins. With `newest` the stored row also competes, for
+    files that arrive out of order. Merging by key makes a repeated batch harmless.
     """
     merge = merge_coalesce if keep_known else merge_upsert
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = one_version(curate(batch), keys, latest)
-        target = spark.read.parquet(path) if path_exists(spark, path) else None
-        swap_in(rows if target is None else merge(target, rows, keys), path)
+        if not path_exists(spark, path):
+            swap_in(rows, path)
+            return
+        target = spark.read.parquet(path)
+        if newest:
+            rows = one_version(rows.unionByName(target.select(*rows.columns)), keys, latest)
+        swap_in(merge(target, rows, keys), path)
 
     return handle
 
