@@ -172,7 +172,7 @@ class League:
         return self.squad_base.select(
             txt("Club Supplier ", padded(F.col("l_suppkey"))).alias("club"), year.cast("string").alias("temporada"),
             txt(F.col("p_name"), " ", F.col("p_partkey")).alias("jugador"),
-            F.when(size != 50, F.col("p_partkey").cast("string")).alias("id_tm"), F.col("number").cast("string").alias("numero"),
+            F.when(size != 50, (F.col("p_partkey") + 1).cast("string")).alias("id_tm"), F.col("number").cast("string").alias("numero"),
             place.alias("posicion"), F.date_format("signed", "dd/MM/yyyy").alias("fecha_fichaje"),
             txt(two(size % 28 + 1), "/", two(size % 12 + 1), "/", size % 30 + 1970, " (34)").alias("fecha_nacimiento"),
             txt(F.col("p_brand"), ", ", F.col("p_type")).alias("nacionalidad"),
@@ -193,7 +193,7 @@ class League:
         }
         joined = rows.join(self.table("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
         return joined.select(
-            F.col("l_partkey").cast("string").alias("id_tm"), txt(F.col("p_name"), " ", F.col("p_partkey")).alias("jugador"),
+            (F.col("l_partkey") + 1).cast("string").alias("id_tm"), txt(F.col("p_name"), " ", F.col("p_partkey")).alias("jugador"),
             txt("Club Supplier ", padded(F.col("l_suppkey"))).alias("club"), F.col("season").cast("string").alias("temporada"),
             txt("Liga ", F.col("l_returnflag")).alias("competencia"), txt(q % 4, ".25").alias("ppp"),
             *[v.cast("string").alias(k) for k, v in numbers.items()],

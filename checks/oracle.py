@@ -88,8 +88,8 @@ CTES: dict[str, str] = {
     "sb": f"""SELECT l_partkey, l_suppkey, CAST(year(l_shipdate) AS INT) AS season, min(l_shipdate) AS signed, max({_Q}) AS number,
         any_value(p_name) AS p_name, any_value(p_size) AS p_size, any_value(p_brand) AS p_brand, any_value(p_type) AS p_type,
         any_value(p_retailprice) AS p_retailprice FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""",
-    "md_plantillas": """SELECT sha256(CASE WHEN p_size <> 50 THEN CAST(l_partkey AS VARCHAR) ELSE p_name || ' ' || l_partkey END) AS id_jugador,
-        CASE WHEN p_size <> 50 THEN CAST(l_partkey AS VARCHAR) END AS id_tm, p_name || ' ' || l_partkey AS jugador,
+    "md_plantillas": """SELECT sha256(CASE WHEN p_size <> 50 THEN CAST(l_partkey + 1 AS VARCHAR) ELSE p_name || ' ' || l_partkey END) AS id_jugador,
+        CASE WHEN p_size <> 50 THEN CAST(l_partkey + 1 AS VARCHAR) END AS id_tm, p_name || ' ' || l_partkey AS jugador,
         CAST(date_sub('year', make_date(CAST(1970 + p_size % 30 AS INT), CAST(p_size % 12 + 1 AS INT), CAST(p_size % 28 + 1 AS INT)), DATE '2024-06-30') AS INT) AS edad,
         p_brand AS nacionalidad_principal, p_type AS segunda_nacionalidad, CASE WHEN tall THEN CAST('1.' || (p_size % 40 + 60) AS DOUBLE) ELSE 0.0 END AS altura,
         CASE WHEN NOT odd THEN 'sin informacion' WHEN p_size % 4 = 0 THEN 'left' ELSE 'right' END AS pie,
@@ -178,7 +178,7 @@ CTES: dict[str, str] = {
         -(tarjeta_amarilla_roja / minutos_jugados * 90) AS segunda_am_p90, -(goles_en_contra / minutos_jugados * 90) AS gc_p90,
         partidos_imbatido / minutos_jugados * 90 AS pi_p90, CAST(minutos_jugados AS DOUBLE) AS score_ml FROM ft_jugadores WHERE minutos_jugados >= 300""",
     "score": """SELECT md5(id_jugador || '_' || id_equipo || '_' || temporada) AS id_score_ml, *, CASE WHEN score_100 >= 50 THEN 2 ELSE 1 END AS nivel_num,
-        CASE WHEN score_100 >= 50 THEN 'Bueno' ELSE 'Regular' END AS nivel FROM (SELECT *, 0.5 AS var_explicada,
+        CASE WHEN score_100 >= 50 THEN 'Bueno' ELSE 'Regular' END AS nivel FROM (SELECT *, 0.5::DOUBLE AS var_explicada,
         CASE WHEN max(score_ml) OVER w > min(score_ml) OVER w THEN (score_ml - min(score_ml) OVER w) / (max(score_ml) OVER w - min(score_ml) OVER w) * 100 ELSE 50.0 END AS score_100
         FROM feats WINDOW w AS (PARTITION BY posicion_xi))""",
     "slots": None,

@@ -495,12 +495,12 @@ def _(s, sf):
     return J.join_fallback_key(a, c.select(key.alias("ext"), F.col("c_name").alias("nom"), "c_mktsegment"), "ext", "nom").select("c_custkey", "c_mktsegment")
 
 
-@query("J10_rank_equals_slot", """SELECT o_custkey, o_orderkey, n_name FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
-    JOIN (SELECT n_name, n_nationkey + 1 AS slot FROM nation WHERE n_nationkey < 3) ON rn = slot""")
+@query("J10_rank_equals_slot", """SELECT o_custkey, o_orderkey, r_name FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
+    JOIN (SELECT r_name, r_regionkey + 1 AS slot FROM region) ON rn = slot""")
 def _(s, sf):
-    ranked = R.first_rows(table(s, sf, "orders"), ["o_custkey"], [("o_totalprice", "desc"), ("o_orderkey", "asc")], 3, name="player_rank")
-    slots = table(s, sf, "nation").filter("n_nationkey < 3").select("n_name", (F.col("n_nationkey") + 1).alias("slot_rank"))
-    return J.assign_slots(ranked, slots, keys=()).select("o_custkey", "o_orderkey", "n_name")
+    ranked = R.first_rows(table(s, sf, "orders"), ["o_custkey"], [("o_totalprice", "desc"), ("o_orderkey", "asc")], 5, name="player_rank")
+    slots = table(s, sf, "region").select("r_name", (F.col("r_regionkey") + 1).alias("slot_rank"))
+    return J.assign_slots(ranked, slots, keys=()).select("o_custkey", "o_orderkey", "r_name")
 
 
 @query("J11_restrict_top_n", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 ORDER BY sum(CAST(o_totalprice * 100 AS BIGINT)) DESC, o_custkey LIMIT 5)")
