@@ -1,4 +1,4 @@
 """Imports every module that registers queries."""
 
-from . import league_queries, relational, scalars  # noqa: F401
+from . import league_queries, relational, scalars, texts  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

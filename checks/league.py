@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.plans import gold, scoring, silver, views
+from matchloom.session import scratch_dir
+from matchloom.sources.writers import write_dynamic_partitions
 
 AS_OF = "2024-06-30 00:00:00"
 POSITIONS = ["Goalkeeper", "Centre-Back", "Left-Back", "Right-Back", "Defensive Midfield", "Central Midfield",
@@ -32,11 +34,29 @@ def padded(c: Column) -> Column:
     return F.lpad(c.cast("string"), 9, "0")
 
 
+# Folders of the tables written so far, per application and input.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 class League:
+    """Each layer reads the written tables of the layer before, as in a scheduled load."""
+
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
         self.as_of = F.lit(AS_OF).cast("timestamp")
 
+    def stored(self, name: str, build) -> DataFrame:
+        """The table `name`, written on first use; histories and facts are partitioned by season."""
+        key = (self.spark.sparkContext.applicationId, self.sf, name)
+        if key not in _WRITTEN:
+            path, df = scratch_dir(self.spark), build()
+            if "temporada" in df.columns:
+                write_dynamic_partitions(df, path, ["temporada"])
+            else:
+                df.write.parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(_WRITTEN[key])
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf}/{name}.parquet")
 
@@ -235,11 +255,11 @@ class League:
 
     @cached_property
     def teams_split(self):
-        return silver.teams(self.raw_teams, self.catalog, self.as_of)
+        return silver.teams(self.raw_teams, self.tb_catalog, self.as_of)
 
     @cached_property
     def stadiums_split(self):
-        return silver.stadiums(self.raw_stadiums, self.catalog, self.as_of)
+        return silver.stadiums(self.raw_stadiums, self.tb_catalog, self.as_of)
 
     @cached_property
     def players(self) -> DataFrame:
@@ -247,7 +267,7 @@ class League:
 
     @cached_property
     def squads_split(self):
-        return silver.squads(self.raw_squads, self.catalog, self.players, None, self.as_of)
+        return silver.squads(self.raw_squads, self.tb_catalog, self.tb_players, None, self.as_of)
 
     @cached_property
     def coaches(self) -> DataFrame:
@@ -255,87 +275,87 @@ class League:
 
     @cached_property
     def spells_split(self):
-        return silver.coach_spells(self.raw_coaches, self.catalog, self.coaches, self.as_of)
+        return silver.coach_spells(self.raw_coaches, self.tb_catalog, self.tb_coaches, self.as_of)
 
     @cached_property
     def values_split(self):
-        return silver.team_values(self.raw_values, self.catalog, self.as_of)
+        return silver.team_values(self.raw_values, self.tb_catalog, self.as_of)
 
     @cached_property
     def matches_split(self):
-        return silver.matches(self.raw_matches, self.catalog, self.as_of)
+        return silver.matches(self.raw_matches, self.tb_catalog, self.as_of)
 
     @cached_property
     def match_stats(self) -> DataFrame:
-        return silver.match_stats(self.raw_match_stats, self.matches_split[0], self.as_of)[0]
+        return silver.match_stats(self.raw_match_stats, self.tb_matches, self.as_of)[0]
 
     @cached_property
     def standings_split(self):
-        return silver.standings(self.raw_standings, self.catalog, "data", self.as_of)
+        return silver.standings(self.raw_standings, self.tb_catalog, "data", self.as_of)
 
     @cached_property
     def champions(self) -> DataFrame:
-        return silver.champions(self.raw_champions, self.catalog, self.as_of)[0]
+        return silver.champions(self.raw_champions, self.tb_catalog, self.as_of)[0]
 
     @cached_property
     def player_stats_split(self):
-        return silver.player_stats(self.raw_player_stats, self.catalog, self.players, self.as_of)
+        return silver.player_stats(self.raw_player_stats, self.tb_catalog, self.tb_players, self.as_of)
 
     # ---- gold -----------------------------------------------------------------------
     @cached_property
     def dim(self) -> DataFrame:
-        return gold.team_dimension(self.catalog, self.teams_split[0], self.stadiums_split[0], self.values_split[0], self.as_of)
+        return gold.team_dimension(self.tb_catalog, self.tb_teams, self.tb_stadiums, self.tb_values, self.as_of)
 
     @cached_property
     def season_performance(self) -> DataFrame:
-        return gold.season_performance(self.standings_split[0], self.values_split[0], self.dim, self.as_of)
+        return gold.season_performance(self.tb_standings, self.tb_values, self.tb_dim, self.as_of)
 
     @cached_property
     def accumulated(self) -> DataFrame:
-        return gold.accumulated_performance(self.standings_split[0], self.values_split[0], self.dim, self.as_of)
+        return gold.accumulated_performance(self.tb_standings, self.tb_values, self.tb_dim, self.as_of)
 
     @cached_property
     def match_detail(self) -> DataFrame:
-        return gold.match_detail(self.matches_split[0], self.match_stats, self.dim, self.as_of)
+        return gold.match_detail(self.tb_matches, self.tb_match_stats, self.tb_dim, self.as_of)
 
     @cached_property
     def squad_history(self) -> DataFrame:
-        return gold.squad_history(self.squads_split[0], self.players, self.dim, self.as_of)
+        return gold.squad_history(self.tb_squads, self.tb_players, self.tb_dim, self.as_of)
 
     @cached_property
     def coach_history(self) -> DataFrame:
-        return gold.coach_history(self.spells_split[0], self.coaches, self.dim, self.as_of)
+        return gold.coach_history(self.tb_spells, self.tb_coaches, self.tb_dim, self.as_of)
 
     @cached_property
     def value_history(self) -> DataFrame:
-        return gold.value_history(self.values_split[0], self.dim, self.as_of)
+        return gold.value_history(self.tb_values, self.tb_dim, self.as_of)
 
     @cached_property
     def player_season_stats(self) -> DataFrame:
-        return gold.player_season_stats(self.player_stats_split[0], self.players, self.squads_split[0], self.dim, self.as_of)
+        return gold.player_season_stats(self.tb_player_stats, self.tb_players, self.tb_squads, self.tb_dim, self.as_of)
 
     # ---- views ----------------------------------------------------------------------
     @cached_property
     def tables(self) -> DataFrame:
-        return views.league_tables(self.season_performance, self.accumulated)
+        return views.league_tables(self.tb_season_performance, self.tb_accumulated)
 
     @cached_property
     def team_matches(self) -> DataFrame:
-        return views.team_matches(self.match_detail)
+        return views.team_matches(self.tb_match_detail)
 
     @cached_property
     def stats_view(self) -> DataFrame:
-        return views.player_season_view(self.player_season_stats)
+        return views.player_season_view(self.tb_player_season_stats)
 
     @cached_property
     def squad_view(self) -> DataFrame:
-        return views.squad_history_view(self.squad_history)
+        return views.squad_history_view(self.tb_squad_history)
 
     @cached_property
     def simple_score(self) -> DataFrame:
         """Score rows with a plain score in place of the component: minutes scaled to 0-100 per position."""
         from matchloom.operators.ranking import minmax_by
-        feats = scoring.player_features(self.player_season_stats, self.squad_history)
+        feats = scoring.player_features(self.tb_player_season_stats, self.tb_squad_history)
         scored = feats.withColumn("score_ml", F.col("minutos_jugados").cast("double")).withColumn("var_explicada", F.lit(0.5))
         scaled = minmax_by(scored, "posicion_xi", "score_ml")
         level = F.when(F.col("score_100") >= 50, 2).otherwise(1)
@@ -344,4 +364,93 @@ class League:
 
     @cached_property
     def score_view(self) -> DataFrame:
-        return views.scored_eleven(self.simple_score)
+        return views.scored_eleven(self.tb_simple_score)
+
+    # ---- written tables --------------------------------------------------------------
+    @cached_property
+    def tb_catalog(self) -> DataFrame:
+        return self.stored("catalog", lambda: self.catalog)
+
+    @cached_property
+    def tb_teams(self) -> DataFrame:
+        return self.stored("teams", lambda: self.teams_split[0])
+
+    @cached_property
+    def tb_stadiums(self) -> DataFrame:
+        return self.stored("stadiums", lambda: self.stadiums_split[0])
+
+    @cached_property
+    def tb_players(self) -> DataFrame:
+        return self.stored("players", lambda: self.players)
+
+    @cached_property
+    def tb_squads(self) -> DataFrame:
+        return self.stored("squads", lambda: self.squads_split[0])
+
+    @cached_property
+    def tb_coaches(self) -> DataFrame:
+        return self.stored("coaches", lambda: self.coaches)
+
+    @cached_property
+    def tb_spells(self) -> DataFrame:
+        return self.stored("spells", lambda: self.spells_split[0])
+
+    @cached_property
+    def tb_values(self) -> DataFrame:
+        return self.stored("values", lambda: self.values_split[0])
+
+    @cached_property
+    def tb_matches(self) -> DataFrame:
+        return self.stored("matches", lambda: self.matches_split[0])
+
+    @cached_property
+    def tb_match_stats(self) -> DataFrame:
+        return self.stored("match_stats", lambda: self.match_stats)
+
+    @cached_property
+    def tb_standings(self) -> DataFrame:
+        return self.stored("standings", lambda: self.standings_split[0])
+
+    @cached_property
+    def tb_player_stats(self) -> DataFrame:
+        return self.stored("player_stats", lambda: self.player_stats_split[0])
+
+    @cached_property
+    def tb_dim(self) -> DataFrame:
+        return self.stored("dim", lambda: self.dim)
+
+    @cached_property
+    def tb_season_performance(self) -> DataFrame:
+        return self.stored("season_performance", lambda: self.season_performance)
+
+    @cached_property
+    def tb_accumulated(self) -> DataFrame:
+        return self.stored("accumulated", lambda: self.accumulated)
+
+    @cached_property
+    def tb_match_detail(self) -> DataFrame:
+        return self.stored("match_detail", lambda: self.match_detail)
+
+    @cached_property
+    def tb_squad_history(self) -> DataFrame:
+        return self.stored("squad_history", lambda: self.squad_history)
+
+    @cached_property
+    def tb_coach_history(self) -> DataFrame:
+        return self.stored("coach_history", lambda: self.coach_history)
+
+    @cached_property
+    def tb_value_history(self) -> DataFrame:
+        return self.stored("value_history", lambda: self.value_history)
+
+    @cached_property
+    def tb_player_season_stats(self) -> DataFrame:
+        return self.stored("player_season_stats", lambda: self.player_season_stats)
+
+    @cached_property
+    def tb_simple_score(self) -> DataFrame:
+        return self.stored("simple_score", lambda: self.simple_score)
+
+    @cached_property
+    def tb_champions(self) -> DataFrame:
+        return self.stored("champions", lambda: self.champions)

@@ -89,9 +89,9 @@ def _(L: League):
 @league_query("B14_patch_applied", "SELECT id_jugador, CASE WHEN l_partkey % 2 = 0 THEN 1.9::DOUBLE ELSE altura END AS altura, CASE WHEN pie = 'left' THEN 'zurdo' ELSE pie END AS pie FROM md_plantillas")
 def _(L: League):
     number = F.regexp_extract("jugador", r"(\d+)$", 1).cast("int")
-    raw = L.players.select("jugador", F.lit("2024").alias("temporada"), F.when(F.col("pie") == "left", "zurdo").alias("pie"),
+    raw = L.tb_players.select("jugador", F.lit("2024").alias("temporada"), F.when(F.col("pie") == "left", "zurdo").alias("pie"),
                            F.when(number % 2 == 0, "1,90 m").alias("altura"), F.lit(None).cast("string").alias("valor_mercado"))
-    fixed_rows = writers.merge_update_only(L.players, silver.patch_players(raw), text.join_name("jugador"), "jugador")
+    fixed_rows = writers.merge_update_only(L.tb_players, silver.patch_players(raw), text.join_name("jugador"), "jugador")
     return fixed_rows.select("id_jugador", "altura", "pie")
 
 
@@ -102,14 +102,14 @@ _FIX_PLACE = "[" + ", ".join(f"'{p}'" for p in PLACES) + "][CAST(s.p_size % 13 A
     season AS temporada, CAST(number AS VARCHAR) AS numero_camiseta, {_FIX_PLACE} AS posicion, CAST(CAST(signed AS DATE) AS VARCHAR) AS fecha_fichaje FROM sb s JOIN md_plantillas m USING (l_partkey)
     WHERE l_suppkey IN (SELECT s_suppkey FROM known)""")
 def _(L: League):
-    kept, _rejects = silver.patch_squads(L.raw_squads, L.catalog, L.players, L.as_of)
+    kept, _rejects = silver.patch_squads(L.raw_squads, L.tb_catalog, L.tb_players, L.as_of)
     return kept.select("id_plantilla_equipo", "id_equipo", "id_jugador", "temporada", "numero_camiseta", "posicion", "fecha_fichaje")
 
 
 @league_query("B16_fix_estadisticas_partidos", "SELECT id_partido, CAST(fecha_stats AS VARCHAR) AS fecha_stats, goles_local, pases_local, 0 AS faltas_local, 0.0::DOUBLE AS duelo_terrestre_local_pct FROM hm_stats")
 def _(L: League):
     raw = L.raw_match_stats.drop("fecha").join(L.raw_matches.select("url", "fecha"), "url")
-    out = silver.patch_match_stats(raw, L.matches_split[0], L.as_of)
+    out = silver.patch_match_stats(raw, L.tb_matches, L.as_of)
     return out.select("id_partido", "fecha_stats", "goles_local", "pases_local", "faltas_local", "duelo_terrestre_local_pct")
 
 
@@ -130,10 +130,10 @@ league_query("G8_ft_estadisticas_jugadores", dated("*", "(SELECT * REPLACE (roun
 
 # ---- views -----------------------------------------------------------------------------------
 
-league_query("V01_rendimiento_general", "SELECT * EXCLUDE (periodo), 'Acumulado' AS tipo_tabla FROM ft_acumulado")(lambda L: views.general_performance(L.accumulated))
+league_query("V01_rendimiento_general", "SELECT * EXCLUDE (periodo), 'Acumulado' AS tipo_tabla FROM ft_acumulado")(lambda L: views.general_performance(L.tb_accumulated))
 league_query("V02_temporadas", "SELECT temporada FROM ft_detalle UNION SELECT temporada FROM ft_temporada UNION SELECT temporada FROM ft_acumulado")(
-    lambda L: views.seasons(L.match_detail, L.season_performance, L.accumulated))
-league_query("V03_tipos_de_tabla", "SELECT tipo_tabla FROM ft_temporada UNION SELECT 'Acumulado'")(lambda L: views.table_types(L.season_performance))
+    lambda L: views.seasons(L.tb_match_detail, L.tb_season_performance, L.tb_accumulated))
+league_query("V03_tipos_de_tabla", "SELECT tipo_tabla FROM ft_temporada UNION SELECT 'Acumulado'")(lambda L: views.table_types(L.tb_season_performance))
 league_query("V04_posiciones", "SELECT * FROM posiciones")(lambda L: L.tables)
 league_query("V05_partidos_equipo", dated("*", "partidos_equipo", "fecha_partido", "fecha_stats"))(
     lambda L: L.team_matches.select("id_partido", "temporada", "fecha_partido", "fecha_stats", "partido_sin_info", "estado_partido", "url", "fuente_partido", "rol_equipo",
@@ -204,10 +204,10 @@ league_query("Q06_gep_equipo", f"""SELECT nombre_equipo, CAST(sum(partidos_ganad
 PE = "(SELECT a.*, e.nombre_equipo AS rival FROM partidos_equipo a JOIN dim e ON e.id_equipo = a.id_rival WHERE estado_partido = 'Disputado')"
 league_query("Q07_partidos_equipo", f"""SELECT nombre_equipo, temporada, CAST(fecha_partido AS VARCHAR) AS fecha_partido, rol_equipo, rival, goles_favor, goles_contra, resultado, posesion_pct, tiros_totales, disparos_puerta,
     tarjetas_amarillas, 0 AS tarjetas_rojas FROM {PE} WHERE nombre_equipo LIKE '%00002%' AND temporada = 1998 ORDER BY fecha_partido DESC, id_partido, rol_equipo LIMIT 10""")(
-    lambda L: Q.recent_matches(L.team_matches, L.dim, "00002", 1998))
+    lambda L: Q.recent_matches(L.team_matches, L.tb_dim, "00002", 1998))
 league_query("Q08_mayor_goleada", f"""SELECT nombre_equipo AS equipo_ganador, rival AS equipo_perdedor, temporada, CAST(fecha_partido AS VARCHAR) AS fecha_partido, resultado, goles_favor, goles_contra, diferencia_goles FROM {PE}
     WHERE temporada = (SELECT max(temporada) FROM {PE}) AND goles_favor > goles_contra ORDER BY diferencia_goles DESC, goles_favor DESC, id_partido, rol_equipo LIMIT 10""")(
-    lambda L: Q.biggest_wins(L.team_matches, L.dim))
+    lambda L: Q.biggest_wins(L.team_matches, L.tb_dim))
 league_query("Q09_vs_equipos", """SELECT nombre_equipo, count(*) AS partidos, CAST(sum(goles_favor) AS BIGINT) AS goles_marcados, CAST(sum(goles_contra) AS BIGINT) AS goles_recibidos, round(avg(posesion_pct), 1) AS posesion_media_pct,
     round(avg(tiros_totales), 1) AS tiros_promedio, round(avg(disparos_puerta), 1) AS disparos_puerta_promedio, count(*) FILTER (goles_favor > goles_contra) AS victorias, count(*) FILTER (goles_favor = goles_contra) AS empates,
     count(*) FILTER (goles_favor < goles_contra) AS derrotas, round(avg(tarjetas_amarillas), 2) AS amarillas_promedio FROM partidos_equipo WHERE estado_partido = 'Disputado' AND (nombre_equipo LIKE '%00001%' OR nombre_equipo LIKE '%00006%') GROUP BY 1""")(
@@ -215,7 +215,7 @@ league_query("Q09_vs_equipos", """SELECT nombre_equipo, count(*) AS partidos, CA
 league_query("Q10_partido_rival", f"""SELECT nombre_equipo AS equipo, rival, temporada, CAST(fecha_partido AS VARCHAR) AS fecha_partido, resultado, rol_equipo, goles_favor, goles_contra,
     CASE WHEN goles_favor > goles_contra THEN 'Victoria' WHEN goles_favor = goles_contra THEN 'Empate' ELSE 'Derrota' END AS resultado_final FROM {PE}
     WHERE nombre_equipo LIKE '%00001%' AND rival LIKE '%00009%' ORDER BY fecha_partido DESC, id_partido, rol_equipo LIMIT 10""")(
-    lambda L: Q.head_to_head(L.team_matches, L.dim, "00001", "00009"))
+    lambda L: Q.head_to_head(L.team_matches, L.tb_dim, "00001", "00009"))
 league_query("Q11_goles_por_equipo", """SELECT nombre_equipo, temporada, CAST(sum(goles_favor) AS BIGINT) AS goles_marcados, CAST(sum(goles_contra) AS BIGINT) AS goles_recibidos, count(*) AS partidos_jugados FROM partidos_equipo
     WHERE estado_partido = 'Disputado' AND temporada = (SELECT max(temporada) FROM partidos_equipo WHERE estado_partido = 'Disputado') GROUP BY 1, 2 ORDER BY goles_marcados DESC, nombre_equipo LIMIT 15""")(
     lambda L: Q.goals_by_team(L.team_matches))
@@ -278,25 +278,25 @@ league_query("Q23_plantilla_equipo", """SELECT jugador, posicion, edad_historica
     ORDER BY valor_mercado DESC, id_plantilla_equipo LIMIT 25""")(lambda L: Q.team_squad(L.squad_view, "00007"))
 V = "nombre_equipo, temporada, jugadores_en_plantilla, edad_promedio, extranjeros, valor_medio, valor_total"
 league_query("Q24_valoracion_equipos", f"SELECT {V} FROM ft_valor WHERE temporada BETWEEN 1996 AND 1998 ORDER BY temporada, valor_total DESC, nombre_equipo LIMIT 100")(
-    lambda L: Q.team_values(L.value_history, start=1996, end=1998))
+    lambda L: Q.team_values(L.tb_value_history, start=1996, end=1998))
 league_query("Q24_valoracion_ultima", f"SELECT {V} FROM ft_valor WHERE temporada = (SELECT max(temporada) FROM ft_valor) ORDER BY valor_total DESC, nombre_equipo LIMIT 100")(
-    lambda L: Q.team_values(L.value_history))
+    lambda L: Q.team_values(L.tb_value_history))
 league_query("Q25_evolucion_valor_liga", """SELECT temporada, round(sum(valor_total) / 1000000, 2) AS valor_total_mm_eur, round(avg(edad_promedio), 1) AS edad_promedio_liga, round(avg(extranjeros), 1) AS extranjeros_promedio,
-    count(DISTINCT nombre_equipo) AS equipos FROM ft_valor WHERE temporada >= 1996 GROUP BY 1""")(lambda L: Q.league_value_history(L.value_history, 1996))
+    count(DISTINCT nombre_equipo) AS equipos FROM ft_valor WHERE temporada >= 1996 GROUP BY 1""")(lambda L: Q.league_value_history(L.tb_value_history, 1996))
 league_query("Q26_entrenadores", """SELECT nombre_equipo, entrenador, nacionalidad_principal, temporada, partidos, ppp, tiempo_en_cargo, entrenador_activo, CAST(fecha_inicio AS VARCHAR) AS fecha_inicio, CAST(fecha_termino AS VARCHAR) AS fecha_termino
-    FROM ft_entrenadores WHERE partidos >= 5 ORDER BY ppp DESC, partidos DESC, id_entrenador_equipo LIMIT 15""")(lambda L: Q.best_coaches(L.coach_history))
+    FROM ft_entrenadores WHERE partidos >= 5 ORDER BY ppp DESC, partidos DESC, id_entrenador_equipo LIMIT 15""")(lambda L: Q.best_coaches(L.tb_coach_history))
 league_query("Q27_vs_detalle", """SELECT equipo, count(*) AS partidos_con_datos, round(avg(pases), 0) AS pases_promedio, round(avg(pp), 0) AS pases_precisos_promedio, round(avg(pct) * 100, 1) AS precision_pases_pct, round(avg(dg), 0) AS duelos_ganados_promedio,
     round(avg(ag), 0) AS aereos_ganados_promedio, round(avg(en), 0) AS entradas_promedio, round(avg(rr), 0) AS regates_realizados_promedio FROM (
     SELECT nombre_equipo_local AS equipo, pases_local AS pases, pases_precisos_local AS pp, pases_precisos_local_pct AS pct, duelos_ganados_local AS dg, aereo_ganado_local AS ag, entradas_local AS en, regates_realizados_local AS rr FROM ft_detalle
     UNION ALL SELECT nombre_equipo_visitante, pases_visitante, pases_precisos_visitante, pases_precisos_visitante_pct, duelos_ganados_visitante, aereo_ganado_visitante, entradas_visitante, regates_realizados_visitante FROM ft_detalle)
-    WHERE pases > 0 AND (equipo LIKE '%00001%' OR equipo LIKE '%00008%') GROUP BY 1""")(lambda L: Q.compare_match_details(L.match_detail, "00001", "00008"))
+    WHERE pases > 0 AND (equipo LIKE '%00001%' OR equipo LIKE '%00008%') GROUP BY 1""")(lambda L: Q.compare_match_details(L.tb_match_detail, "00001", "00008"))
 league_query("Q28_vs_entrenadores", """SELECT entrenador, count(DISTINCT nombre_equipo) AS equipos_dirigidos, count(DISTINCT temporada) AS temporadas, CAST(sum(partidos) AS BIGINT) AS partidos_totales, round(CAST(sum(CAST(round(ppp * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*), 2) AS ppp_promedio,
     round(max(ppp), 2) AS mejor_ppp_temporada, round(min(ppp), 2) AS peor_ppp_temporada, max(CAST(tiempo_en_cargo AS INT)) AS max_dias_en_cargo FROM ft_entrenadores WHERE partidos >= 3 AND (entrenador LIKE '%000012%' OR entrenador LIKE '%000077%') GROUP BY 1""")(
-    lambda L: Q.compare_coaches(L.coach_history, "000012", "000077"))
+    lambda L: Q.compare_coaches(L.tb_coach_history, "000012", "000077"))
 league_query("Q29_rendimiento_equipo", f"SELECT {T} FROM posiciones WHERE nombre_equipo LIKE '%00003%' AND partidos_jugados > 0 ORDER BY temporada DESC, tipo_tabla, posicion, nombre_equipo LIMIT 20")(
     lambda L: Q.team_performance(L.tables, "00003"))
 league_query("Q30_campeones", "SELECT temporada, a.nombre_equipo AS campeon, b.nombre_equipo AS subcampeon FROM hm_campeones LEFT JOIN dim a ON a.id_equipo = id_equipo_campeon LEFT JOIN dim b ON b.id_equipo = id_equipo_subcampeon ORDER BY temporada DESC LIMIT 20")(
-    lambda L: Q.champions(L.champions, L.dim))
+    lambda L: Q.champions(L.tb_champions, L.tb_dim))
 _MET = ["puntos", "goles_favor", "goles_contra"]
 league_query("Q31_perfil_comparado", """WITH l AS (SELECT * FROM posiciones WHERE tipo_tabla = 'Acumulado' AND nombre_equipo IN ('Supplier#000000001', 'Supplier#000000004') QUALIFY row_number() OVER (PARTITION BY nombre_equipo ORDER BY temporada DESC) = 1),
     u AS (SELECT nombre_equipo, 'puntos' AS metrica, CAST(puntos AS DOUBLE) AS valor FROM l UNION ALL SELECT nombre_equipo, 'goles_favor', CAST(goles_favor AS DOUBLE) FROM l UNION ALL SELECT nombre_equipo, 'goles_contra', CAST(goles_contra AS DOUBLE) FROM l)
@@ -304,17 +304,17 @@ league_query("Q31_perfil_comparado", """WITH l AS (SELECT * FROM posiciones WHER
     lambda L: Q.comparison_profile(L.tables.filter("tipo_tabla = 'Acumulado'"), "nombre_equipo", "Supplier#000000001", "Supplier#000000004", _MET))
 league_query("Q31_radar", """SELECT id_jugador, id_equipo, temporada, posicion_xi, round(score_100 / 100.0, 4)::DOUBLE AS radar_score, round(CASE WHEN posicion_xi = 'POR' THEN partidos_imbatido / 10.0 ELSE goles_p90 / 1.65 END, 4)::DOUBLE AS radar_goles,
     round(CASE WHEN posicion_xi = 'POR' THEN -gc_p90 / 3.0 ELSE asistencias_p90 / 0.92 END, 4)::DOUBLE AS radar_asistencias, round(ppp / 3.0, 4)::DOUBLE AS radar_ppp, round(minutos_jugados / 3240.0, 4)::DOUBLE AS radar_minutos FROM score""")(
-    lambda L: Q.player_radar(L.simple_score))
+    lambda L: Q.player_radar(L.tb_simple_score))
 KPI = """SELECT count(DISTINCT temporada) AS total_temporadas, count(*) AS total_partidos, (SELECT count(*) FROM dim) AS total_equipos, (SELECT arg_max(nombre_equipo, temporada) FROM hm_campeones JOIN dim ON id_equipo = id_equipo_campeon) AS campeon_ultimo,
     (SELECT round(sum(valor_total) * 4.0, 2) FROM ft_valor WHERE temporada = (SELECT max(temporada) FROM ft_valor)) AS valor_total_plantel, (SELECT round(sum(valor_total) * 4.0 / 1000000, 2) FROM ft_valor WHERE temporada = (SELECT max(temporada) FROM ft_valor)) AS valor_total_plantel_mm,
     (SELECT round(sum(valor_total) * 4.0 / sum(jugadores_en_plantilla), 2) FROM ft_valor WHERE temporada = (SELECT max(temporada) FROM ft_valor)) AS valor_promedio_jugador FROM hm_partidos"""
-league_query("Q32_kpi", KPI)(lambda L: Q.kpi_snapshot(L.matches_split[0], L.dim, L.value_history, L.champions, 4.0))
-league_query("A18_kpi_tipo_cambio", KPI.replace("4.0", "3.75"))(lambda L: Q.kpi_snapshot(L.matches_split[0], L.dim, L.value_history, L.champions, 3.75))
+league_query("Q32_kpi", KPI)(lambda L: Q.kpi_snapshot(L.tb_matches, L.tb_dim, L.tb_value_history, L.tb_champions, 4.0))
+league_query("A18_kpi_tipo_cambio", KPI.replace("4.0", "3.75"))(lambda L: Q.kpi_snapshot(L.tb_matches, L.tb_dim, L.tb_value_history, L.tb_champions, 3.75))
 league_query("Q33_nombres_conocidos", "SELECT lower(nombre_equipo) AS nombre FROM dim UNION SELECT lower(alias_equipo) FROM dim WHERE length(alias_equipo) >= 4")(
-    lambda L: Q.known_team_names(L.dim))
+    lambda L: Q.known_team_names(L.tb_dim))
 league_query("A20_resumen_score", """SELECT nivel AS grupo, count(*) AS jugadores, round(avg(score_100), 2) AS score_medio, 'nivel' AS tipo FROM score GROUP BY 1
-    UNION ALL SELECT CAST(temporada AS VARCHAR), count(*), round(avg(score_100), 2), 'temporada' FROM score GROUP BY 1""")(lambda L: scoring.score_summary(L.simple_score))
+    UNION ALL SELECT CAST(temporada AS VARCHAR), count(*), round(avg(score_100), 2), 'temporada' FROM score GROUP BY 1""")(lambda L: scoring.score_summary(L.tb_simple_score))
 league_query("L1_rasgos_de_jugador", "SELECT id_jugador, id_equipo, temporada, posicion_xi, " + ", ".join(f"round({c}, 9) AS {c}" for c in scoring.RATES) + " FROM feats")(
-    lambda L: scoring.player_features(L.player_season_stats, L.squad_history).select("id_jugador", "id_equipo", "temporada", "posicion_xi", *[F.round(c, 9).alias(c) for c in scoring.RATES]))
+    lambda L: scoring.player_features(L.tb_player_season_stats, L.tb_squad_history).select("id_jugador", "id_equipo", "temporada", "posicion_xi", *[F.round(c, 9).alias(c) for c in scoring.RATES]))
 league_query("L5_claves_de_score", "SELECT id_score_ml, round(score_100, 6) AS score_100, nivel_num, nivel FROM score")(
-    lambda L: L.simple_score.select("id_score_ml", F.round("score_100", 6).alias("score_100"), "nivel_num", "nivel"))
+    lambda L: L.tb_simple_score.select("id_score_ml", F.round("score_100", 6).alias("score_100"), "nivel_num", "nivel"))

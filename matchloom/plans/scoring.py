@@ -6,6 +6,7 @@ leave the executors' partitions.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping, Sequence
 
 import numpy as np
@@ -110,29 +111,31 @@ def component_scores(features: DataFrame, group: str = "posicion_xi",
     return joined.withColumn(score, dot).drop("_feats", "_mean", "_dev", "_weight")
 
 
+def _levels_of(scored: DataFrame, group: str, code: str, width: int, k: int, seed: int, score: str) -> DataFrame:
+    rows = scored.filter(F.col(group) == code)
+    flat = rows.select("*", *[F.get("_z", F.lit(i)).alias(f"_z{i}") for i in range(width)])
+    vectors = VectorAssembler(inputCols=[f"_z{i}" for i in range(width)], outputCol="_v").transform(flat)
+    model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_cluster", maxIter=50).fit(vectors)
+    assigned = model.transform(vectors).drop("_v", *[f"_z{i}" for i in range(width)])
+    means = assigned.groupBy("_cluster").agg(F.avg(score).alias("m")).orderBy("m", "_cluster").collect()
+    number = {r["_cluster"]: i for i, r in enumerate(means)}
+    return assigned.withColumn("nivel_num", text.map_label("_cluster", number)).drop("_cluster")
+
+
 def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
                    by_group: Mapping[str, Sequence[str]] = fixed.SCORE_FEATURES, k: int = 4, seed: int = 42,
                    score: str = "score_ml") -> DataFrame:
     """Clusters each group on its z-scored features and numbers the clusters by mean score, lowest first.
 
-    One model per position; groups with fewer than 2k rows get no level.
+    One model per position, a few fitted at a time; groups with fewer than 2k rows get no level.
     """
     scored = scored.persist()
     sizes = {r[group]: r["n"] for r in scored.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect() if r[group] in by_group}
     parts = [scored.filter(~F.coalesce(F.col(group).isin([g for g, n in sizes.items() if n >= 2 * k]), F.lit(False)))
              .withColumn("nivel_num", F.lit(None).cast("int"))]
-    for code, n in sorted(sizes.items()):
-        if n < 2 * k:
-            continue
-        width = len(by_group[code])
-        rows = scored.filter(F.col(group) == code)
-        flat = rows.select("*", *[F.get("_z", F.lit(i)).alias(f"_z{i}") for i in range(width)])
-        vectors = VectorAssembler(inputCols=[f"_z{i}" for i in range(width)], outputCol="_v").transform(flat)
-        model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_cluster", maxIter=50).fit(vectors)
-        assigned = model.transform(vectors).drop("_v", *[f"_z{i}" for i in range(width)])
-        means = assigned.groupBy("_cluster").agg(F.avg(score).alias("m")).orderBy("m", "_cluster").collect()
-        number = {r["_cluster"]: i for i, r in enumerate(means)}
-        parts.append(assigned.withColumn("nivel_num", text.map_label("_cluster", number)).drop("_cluster"))
+    large = sorted(g for g, n in sizes.items() if n >= 2 * k)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        parts += list(pool.map(lambda g: _levels_of(scored, group, g, len(by_group[g]), k, seed, score), large))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
