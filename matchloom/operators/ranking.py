@@ -47,9 +47,12 @@ def dense_rank_in(df: DataFrame, part: Iterable[str], order: Order, at_most: int
 
 def latest_non_blank(df: DataFrame, key: Column | str, order: Order, cols: Iterable[str],
                      blanks: Iterable[str] = tuple(fixed.WINDOW_BLANKS)) -> DataFrame:
-    """Per key and column, the value of the latest row where it is not blank: one hash aggregation, no window."""
+    """Per key and column, the value of the latest row where it is not blank: one aggregation, no window.
+
+    A single ascending order column without NULLs is compared directly, which is much cheaper than a struct.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    rank = _sort_struct(df, order)
+    rank = F.col(order[0][0]) if len(order) == 1 and order[0][1] == "asc" else _sort_struct(df, order)
     kept = []
     for c in cols:
         value = text.null_if_placeholder(c, blanks)

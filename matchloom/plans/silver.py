@@ -111,8 +111,11 @@ def players(raw: DataFrame, countries: DataFrame | None = None, as_of: Column |
     """One row per player with, per column, the value of the latest season where it is filled."""
     fields = ["jugador", "fecha_nacimiento", "nacionalidad", "altura", "pie", "valor_mercado", "fuente", "id_tm", "foto_url"]
     now = _now(as_of)
-    merged = ranking.latest_non_blank(_by_row(raw.withColumn("temporada", F.col("temporada").try_cast("int"))),
-                                      F.coalesce("id_tm", "jugador"), [("temporada", "desc"), ("_tie", "asc")], fields)
+    # Latest season first, then a fixed choice among rows of one season, packed into one number.
+    season = F.coalesce(F.col("temporada").try_cast("int"), F.lit(0)).cast("bigint")
+    tie = F.pmod(F.xxhash64(*[F.col(c) for c in fields]), F.lit(1 << 32))
+    ranked = raw.select(*fields, (F.shiftleft(-season, 32) + tie).alias("_rank"))
+    merged = ranking.latest_non_blank(ranked, F.coalesce("id_tm", "jugador"), [("_rank", "asc")], fields)
     born = dates.birth_date("fecha_nacimiento")
     rows = merged.select(
         text.player_key("id_tm", "jugador").alias("id_jugador"), "id_tm", "jugador",
