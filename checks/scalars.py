@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from matchloom.functions import dates, fixed, jsonx, measures, text
+from matchloom.operators.ranking import scale_to_max
 
 from .registry import query, table
 
@@ -207,8 +208,7 @@ def _(spark, sf):
     round(q / 300.0, 4)::DOUBLE AS tope FROM (SELECT l_partkey, l_suppkey, CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS q FROM lineitem GROUP BY 1, 2)""")
 def _(spark, sf):
     rows = table(spark, sf, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.sum(F.col("l_quantity").cast("int")).alias("q"))
-    return rows.select("l_partkey", "l_suppkey", "q", F.round(measures.scale_to_max("q", ["l_partkey"]), 4).alias("escala"),
-                       F.round(measures.scale_to_cap("q", 300.0), 4).alias("tope"))
+    return scale_to_max(rows, "q", ["l_partkey"]).withColumn("tope", F.round(measures.scale_to_cap("q", 300.0), 4))
 
 
 # ---- JSON over events ----------------------------------------------------------------

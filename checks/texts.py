@@ -104,8 +104,8 @@ def _(s, sf):
     return routing.extract_vs_pair(questions(s, sf), table(s, sf, "supplier").select(F.col("s_name").alias("nombre")), "texto").drop("texto")
 
 
-@query("Y05_versus_pair_named", f"""SELECT id, least(a, b) AS uno, greatest(a, b) AS otro FROM (SELECT 'o' || o_orderkey AS id, 'supplier#' || {A} AS a, 'supplier#' || {B} AS b FROM orders WHERE o_orderkey % 14 IN (1, 2))
-    WHERE a <> b AND a IN (SELECT lower(s_name) FROM supplier) AND b IN (SELECT lower(s_name) FROM supplier)""")
+@query("Y05_versus_pair_named", f"""SELECT id, least(f[1], f[2]) AS uno, greatest(f[1], f[2]) AS otro FROM (SELECT id, regexp_extract_all(lower(texto), 'supplier#\\d+') AS f FROM {QUESTIONS_SQL})
+    WHERE len(f) >= 2 AND f[1] <> f[2] AND f[1] IN (SELECT lower(s_name) FROM supplier) AND f[2] IN (SELECT lower(s_name) FROM supplier)""")
 def _(s, sf):
     sup = table(s, sf, "supplier").select(F.lower("s_name").alias("nombre"))
     pairs = routing.extract_vs_pair(questions(s, sf), sup, "texto")

@@ -143,6 +143,14 @@ def minmax_by(df: DataFrame, key: str, col: str, name: str = "score_100", digits
     return joined.withColumn(name, value).drop("_g", "_lo", "_hi")
 
 
+def scale_to_max(df: DataFrame, col: str, part: Sequence[str], name: str = "escala", floor: float = 0.01,
+                 digits: int = 4) -> DataFrame:
+    """Value as a percentage of the largest absolute value of its group; one aggregation and a join."""
+    tops = df.groupBy(*part).agg(F.max(F.abs(F.col(col))).alias("_top"))
+    scaled = F.col(col) / F.greatest(F.col("_top"), F.lit(floor)) * 100
+    return df.join(tops, list(part)).withColumn(name, F.round(scaled, digits)).drop("_top")
+
+
 def most_complete(df: DataFrame, keys: Iterable[str], cols: Iterable[str], arrival: str) -> DataFrame:
     """Row with most non-blank fields per key; the earliest arrival wins ties."""
     filled = sum((F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False)).cast("int") for c in cols), F.lit(0))

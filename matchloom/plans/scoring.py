@@ -106,7 +106,8 @@ def component_scores(features: DataFrame, group: str = "posicion_xi",
                      sign_of: Mapping[str, str] = fixed.SCORE_SIGN_REFERENCE, score: str = "score_ml") -> DataFrame:
     """Adds the score, the explained share and the z-scored features `_z`; groups below two rows are left out."""
     weights = component_weights(features, group, by_group, sign_of)
-    joined = features.join(weights, group).withColumn("_z", _standardised(group, by_group))
+    # At most one row per configured group, so the broadcast is bounded by the configuration.
+    joined = features.join(F.broadcast(weights), group).withColumn("_z", _standardised(group, by_group))
     dot = F.aggregate(F.zip_with("_z", "_weight", lambda z, w: z * w), F.lit(0.0), lambda acc, x: acc + x)
     return joined.withColumn(score, dot).drop("_feats", "_mean", "_dev", "_weight")
 
