@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .mixing import SQL as MIX_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,3 +64,24 @@ def op8(spark, sf):
     from .suffix_dedup import remove_repeated_bytes
 
     return remove_repeated_bytes(table(spark, sf, "documents"), length=400, with_text=False).drop("kept")
+
+
+@query("op9_packing")
+def op9(spark, sf):
+    from .packing import pack
+
+    return pack(table(spark, sf, "documents"), limit=2048, end_id=0)
+
+
+@query("op10_source_mix", MIX_SQL)
+def op10(spark, sf):
+    from .mixing import mix
+
+    return mix(table(spark, sf, "documents"), weights=(5.0, 2.0, 1.0), repeats=3).drop("source", "times")
+
+
+@query("op1_toxicity")
+def op1(spark, sf):
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
