@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .mixing import SQL as MIX_SQL
+from .url_reputation import SQL as URL_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +86,10 @@ def op1(spark, sf):
     from .toxicity import toxicity
 
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op5_url_reputation", URL_SQL)
+def op5(spark, sf):
+    from .url_reputation import filter_urls
+
+    return filter_urls(table(spark, sf, "pages"), table(spark, sf, "labels")).drop("bad_share", "bad_lower")
