@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .metric_search import SQL as SEARCH_SQL
 from .mixing import SQL as MIX_SQL
 from .url_reputation import SQL as URL_SQL
 
@@ -93,3 +94,17 @@ def op5(spark, sf):
     from .url_reputation import filter_urls
 
     return filter_urls(table(spark, sf, "pages"), table(spark, sf, "labels")).drop("bad_share", "bad_lower")
+
+
+@query("op7_metric_search", SEARCH_SQL)
+def op7(spark, sf):
+    from .metric_search import top_k
+
+    return top_k(table(spark, sf, "embeddings"), k=5, every=50)
+
+
+@query("op3_embedding_dedup")
+def op3(spark, sf):
+    from .embedding_dedup import near_vectors
+
+    return near_vectors(table(spark, sf, "embeddings"), least=0.9, recall=0.99)
