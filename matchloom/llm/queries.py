@@ -108,3 +108,10 @@ def op3(spark, sf):
     from .embedding_dedup import near_vectors
 
     return near_vectors(table(spark, sf, "embeddings"), least=0.9, recall=0.99)
+
+
+@query("op6_minhash_dedup")
+def op6(spark, sf):
+    from .minhash_dedup import near_documents
+
+    return near_documents(table(spark, sf, "documents"), share=85)
