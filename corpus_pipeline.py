@@ -1,12 +1,74 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline over `documents`: toxicity filter, near-duplicates, repeated passages, source mix, packing.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of
+`documents`. Null texts count as empty and are kept by the filters; rows with a null id are never dropped as duplicates.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from matchloom.llm.common import stored
+from matchloom.llm.minhash_dedup import near_documents
+from matchloom.llm.mixing import mix
+from matchloom.llm.packing import pack
+from matchloom.llm.phrase_dedup import remove_repeats
+from matchloom.llm.queries import ship
+from matchloom.llm.toxicity import fit, score_column
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below a half."""
+    ship(spark)
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.where(score_column(F.col("text"), model) < 0.5)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of every group of near-duplicates (similarity 0.85 and more)."""
+    ship(spark)
+    gone = stored(near_documents(docs).where(~F.col("kept")).select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 20 words and more that start earlier; untouched texts keep their white space."""
+    ship(spark)
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    out = remove_repeats(docs, carry=others)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    out = out.select("doc_id", text.alias("text"), *[F.col(f"carry_{k}").alias(c) for k, c in enumerate(others)])
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; rows of one id follow the one taken most often."""
+    times = stored(mix(docs).groupBy("doc_id").agg(F.max("times").alias("times")).where("times > 0").select(F.col("doc_id").alias("mixed_id"), "times"))
+    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["mixed_id"]))
+    return joined.withColumn("turn", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of at most 2048 ids."""
+    ship(spark)
+    return pack(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("substring_dedup", drop_repeats),
+    ("source_mix", mix_sources),
+    ("packing", pack_sequences),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, out, sf_dir)
+        if k + 1 < len(STAGES):
+            out = stored(out)
+    return out

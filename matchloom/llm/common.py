@@ -117,11 +117,11 @@ def total_bytes(df: DataFrame, text: str) -> int:
     return int(df.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0)
 
 
-def sharded(df: DataFrame, id_col: str, text: str) -> tuple[DataFrame, int]:
-    """(shard, id, text) rows; a null id counts as the largest."""
+def sharded(df: DataFrame, id_col: str, text: str, carry: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(shard, id, text) rows, and carried columns as carry_0, carry_1 ...; and the number of shards."""
     n = shard_count(total_bytes(df, text))
     return df.select(
-        F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(n)).cast("int").alias("shard"), F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
+        F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(n)).cast("int").alias("shard"), F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *[F.col(c).alias(f"carry_{k}") for k, c in enumerate(carry)],
     ), n
 
 

@@ -184,7 +184,7 @@ def removed_words(shard: Shard, first: np.ndarray) -> list[np.ndarray]:
     return gone
 
 
-def finish(window: int, with_text: bool):
+def finish(window: int, with_text: bool, carried: int = 0):
     def run(key: tuple, pdf: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         shard = Shard(pdf, window)
         gone = removed_words(shard, C.unpacked(back, FIRST)[0])
@@ -192,22 +192,27 @@ def finish(window: int, with_text: bool):
         out = pd.DataFrame({"doc_id": pd.array(pdf["id"], "Int64"), "n_words": [len(w) for w in shard.words], "n_removed": [int(x.sum()) for x in gone]})
         out["kept_sha256"] = [hashlib.sha256(x).hexdigest() for x in kept]
         out["kept_text"] = [x.decode("utf-8", "replace") for x in kept] if with_text else None
+        if carried:
+            out["text"] = pdf["text"].to_numpy()
+            for k in range(carried):
+                out[f"carry_{k}"] = pdf[f"carry_{k}"].to_numpy()
         return out
 
     return run
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, with_text: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text), one row for each input row.
 
     A word goes if a window of `window` words that covers it also starts earlier: in a document of smaller id, or earlier in
     its own. Null text has no words; texts shorter than a window are kept; a null id counts as the largest id; rows of the
     same id stand at the same place, so neither removes the other. Of extra columns nothing is read. An empty table
-    gives no rows."""
-    docs, n = C.sharded(df, id_col, text_col)
+    gives no rows. With `carry`, the input's text follows as `text`, and the named columns as carry_0, carry_1 and so on."""
+    docs, n = C.sharded(df, id_col, text_col, carry)
     n_buckets = C.bucket_count(n)
     by = docs.groupBy("shard")
     known = C.recurring_anchors(by.applyInPandas(send_anchors(window, n_buckets), C.PACKED), 1 << 31)
     places = by.cogroup(known.groupBy("shard")).applyInPandas(send_windows(window, n_buckets), C.PACKED)
     back = places.groupBy("bucket").applyInPandas(meet_windows, C.REPLY)
-    return by.cogroup(back.groupBy("shard")).applyInPandas(finish(window, with_text), RESULT)
+    more = "".join(f", carry_{k} {df.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
+    return by.cogroup(back.groupBy("shard")).applyInPandas(finish(window, with_text, len(carry)), RESULT + (", text string" + more if carry else ""))

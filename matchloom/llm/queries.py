@@ -115,3 +115,10 @@ def op6(spark, sf):
     from .minhash_dedup import near_documents
 
     return near_documents(table(spark, sf, "documents"), share=85)
+
+
+@query("op4_lattice_lm")
+def op4(spark, sf):
+    from .lattice_lm import lattice_scores
+
+    return lattice_scores(table(spark, sf, "documents"), folds=7, held_fold=2)
