@@ -2,9 +2,9 @@
 
 Every window of `length` bytes has an anchor, its smallest 16-byte hash, so equal windows have equal anchors. Shards exchange
 anchors; runs of windows that share a recurring anchor are cut out as segments and meet in that anchor's bucket. There equal
-segments are counted once, and different ones are concatenated to blocks of bounded size. A block's suffix order gives its
-transform; level by level, backward extension of the intervals split so far derives the common prefixes of each value, and
-stops at `length`: what is still unsplit then begins a repeated string. Anchors with more than `hot` places (a passage that
+segments are counted once, and different ones are concatenated to blocks of bounded size. Stretches of a block that repeat at
+all give its suffix order and transform; from the intervals of all 128-byte strings on, level by level, backward extension of
+the intervals split so far derives the common prefixes of each value, and stops at `length`: what is still unsplit then begins a repeated string. Anchors with more than `hot` places (a passage that
 very many documents share, in ever other surroundings) would make a block too large; their windows meet by 128-bit hashes.
 """
 
@@ -21,8 +21,10 @@ from pyspark.sql import DataFrame
 from . import common as C
 
 GRAM = 16
-BLOCK = 1 << 18
+BLOCK = 1 << 20
 HOT = 400
+PRE = 128
+START = 128
 SPAN = np.dtype([("row", "<i4"), ("s", "<i4"), ("e", "<i4")])
 WINDOW = np.dtype([("a", "<u8"), ("b", "<u8"), ("m", "u1")])
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -86,54 +88,88 @@ def common_prefix_reaches(symbols: np.ndarray, n_separators: int, length: int) -
     same = (bwt[by_symbol][1:] == bwt[by_symbol][:-1]) & (bwt[by_symbol][1:] >= n_separators)
     before = np.full(n, -1, np.int64)
     before[by_symbol[1:][same]] = by_symbol[:-1][same]
-    split = np.zeros(n + 1, bool)
-    split[n] = True
-    first = symbols[order]
-    split[:n] = np.concatenate([[True], first[1:] != first[:-1]])
-    new = np.flatnonzero(split[:n])
+    # the intervals of all strings of `start` symbols; among their borders those of value start - 1 are the newest
+    start = min(START, length)
+    codes = C.mix(symbols.astype(np.uint64) * C.C1 + C.C2)
+    shorter, split = differ(codes, order, start - 1), differ(codes, order, start)
+    new = np.flatnonzero(split[:n] & ~shorter[:n])
     todo = np.flatnonzero(before >= 0)
     todo = todo[~split[image[todo]]]
-    stale = False
-    for _ in range(1, length):
+    heads = np.flatnonzero((before >= 0) & (before != np.arange(n) - 1))
+    behind = np.searchsorted(heads, np.arange(n), "right")
+    sums = np.cumsum(split[:n])
+    for level in range(start, length):
         if not len(new):
             break
-        at = None
-        if len(new) * 16 < n:
-            at = near_places(new, split, before, n)
+        at = near_places(new, before, heads, behind, sums)
         if at is None:
-            if stale:
-                todo = todo[~split[image[todo]]]
-                stale = False
+            todo = todo[~split[image[todo]]]
             sums = np.cumsum(split[:n])
-            hit = sums[todo] > sums[before[todo]]
-            targets = image[todo[hit]]
-            todo = todo[~hit]
-        else:
-            targets = image[at]
-            targets = np.unique(targets[~split[targets]])
-            stale = True
-        split[targets] = True
-        new = targets
+            at = todo[sums[todo] > sums[before[todo]]]
+        elif level % 32 == 0:
+            sums = np.cumsum(split[:n])
+        targets = image[at]
+        new = np.unique(targets[~split[targets]])
+        split[new] = True
     return order, ~split[:n]
 
 
-def near_places(new: np.ndarray, split: np.ndarray, before: np.ndarray, n: int) -> np.ndarray | None:
-    """The places q whose earlier neighbour lies on the other side of a new split, walking from each split to the next one;
-    None if the way is long."""
-    out, j, q = [], new, new
-    for _ in range(64):
-        hit = (before[q] >= 0) & (before[q] < j)
-        out.append(q[hit])
-        q = q + 1
-        go = ~split[q]
-        j, q = j[go], q[go]
+def differ(codes: np.ndarray, order: np.ndarray, size: int) -> np.ndarray:
+    """For each rank whether its first symbols differ from those of the rank before; true behind the last."""
+    n = len(codes)
+    grams = np.concatenate([C.gram_hash(codes, size), C.mix(np.arange(min(size - 1, n), dtype=np.uint64) + C.C3)])[order] if size else np.zeros(n, np.uint64)
+    return np.concatenate([[True], grams[1:] != grams[:-1], [True]])
+
+
+def near_places(new: np.ndarray, before: np.ndarray, heads: np.ndarray, behind: np.ndarray, sums: np.ndarray) -> np.ndarray | None:
+    """The places q whose earlier neighbour of the same symbol lies on the other side of a new split j <= q.
+
+    Besides j itself only heads of runs can be such places, up to the next older split, which has reached those behind it;
+    `sums` counts splits, perhaps not the newest. None if there are too many heads to look at."""
+    out, j, h = [new[before[new] >= 0]], new, behind[new]
+    for step in range(400):
+        go = h < len(heads)
+        j, h = j[go], h[go]
+        q = heads[h]
+        go = sums[q] == sums[j]
+        j, h, q = j[go], h[go] + 1, q[go]
         if not len(q):
             return np.concatenate(out)
+        if step > 24 and len(q) * 64 > len(before):
+            return None
+        out.append(q[before[q] < j])
     return None
 
 
 def repeated_starts(segments: list[bytes], length: int) -> list[np.ndarray]:
-    """For each segment which starts begin a string of `length` bytes that also starts elsewhere in these segments."""
+    """For each segment which starts begin a string of `length` bytes that also starts elsewhere in these segments.
+
+    Stretches whose shorter grams are unique cannot hold one; only the others, equal ones once, go to the transform."""
+    sizes = np.array([len(x) for x in segments])
+    ends = np.cumsum(sizes)
+    text = b"".join(segments)
+    gram = min(PRE, length)
+    grams = C.gram_hash(byte_grams(text), gram - GRAM + 1)
+    room = np.repeat(ends, sizes)[: len(grams)] - np.arange(len(grams)) >= gram
+    order = np.argsort(grams)
+    same = grams[order][1:] == grams[order][:-1]
+    again = np.zeros(len(grams), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    pieces: dict[bytes, list[int]] = defaultdict(list)
+    for s, e in zip(*C.joined_runs(again & room), strict=True):
+        if e - s + gram - 1 >= length:
+            pieces[text[s : e + gram - 1]].append(int(s))
+    starts = np.zeros(len(text), bool)
+    for piece, reaches in zip(pieces, transform_repeats(list(pieces), length), strict=True):
+        flags = reaches | (len(pieces[piece]) > 1)
+        for s in pieces[piece]:
+            starts[s : s + len(flags)] = flags
+    return [starts[e - n : e - length + 1] for n, e in zip(sizes, ends, strict=True)]
+
+
+def transform_repeats(segments: list[bytes], length: int) -> list[np.ndarray]:
+    if not segments:
+        return []
     sizes = np.array([len(x) for x in segments])
     m = len(segments)
     symbols = np.empty(int(sizes.sum()) + m, np.int64)
