@@ -28,6 +28,9 @@ LOOK_ALIKES = {
     "o": "0оοòóôõöøō", "p": "рρ", "s": "5$ѕśš", "t": "7тτ", "u": "υùúûüū", "v": "ѵν", "w": "ѡω", "x": "хχ", "y": "уγýÿ", "z": "2žźż",
 }
 INVISIBLE = "​‌‍⁠﻿­"
+# Insults that count unless clean documents hold them; labels refine their weights and add others.
+INSULTS = ("idiot", "moron", "imbecile", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "vermin", "filth", "clown", "bastard", "scumbag", "dumbass", "asshole", "bitch", "fuck", "whore")
+INSULT_WEIGHT = 3.0
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish", "pond scum", "lose weight", "moronic acid")
 WORD = re.compile(r"[^\W\d_]+")
 SYMBOL = re.compile(r"[@$|](?![^\W\d_])")
@@ -133,13 +136,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Lexicon and curve from labelled rows; at most `sample` documents a class, those with the smallest hash of their id.
 
     An entry must stand in `share` of the toxic documents (five at least), copies of a text counted once, and be significantly
-    more frequent there than in clean ones. Without toxic or clean rows the lexicon is empty, and every score
-    is the share of toxic rows (0 without labels)."""
+    more frequent there than in clean ones. Insults of the fixed list come in unless clean documents hold them; without toxic or
+    clean rows the lexicon is that list, with the default curve."""
     lab = labels.select(F.col(id_col).alias("id"), F.col(toxic).cast("int").alias("y")).where("id is not null and y in (0, 1)").dropDuplicates(["id"])
     n = {r["y"]: r["count"] for r in lab.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
-        rate = (n.get(1, 0) + 1e-9) / (sum(n.values()) + 2e-9 + 1e9 * (not n))
-        return Model({}, EXCEPTIONS, (math.log(rate / (1 - rate) if rate < 1 else 1e9), 0.0, 0.0))
+        return Model({fold(w): INSULT_WEIGHT for w in INSULTS})
     chosen = lab.where("y = 1").orderBy(F.xxhash64("id"), "id").limit(sample).union(lab.where("y = 0").orderBy(F.xxhash64("id"), "id").limit(sample))
     # at most 2 * sample rows of two numbers, whatever the input
     rows = C.stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").withColumn("m", F.md5("text")).dropDuplicates(["m"]).select("text", "y").repartition(24))
@@ -159,11 +161,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return run
 
     c1 = {r["term"]: r["n"] for r in rows.where("y = 1").select("text").mapInPandas(count(None), "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()}
-    asked = set(c1) | {t[:-1] + "+" for t in c1}
+    insults = {fold(w) for w in INSULTS}
+    asked = set(c1) | {t[:-1] + "+" for t in c1} | {f"{w}>" for w in insults}
     c0 = {r["term"]: r["n"] for r in rows.where("y = 0").select("text").mapInPandas(count(asked), "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     weight = {t: math.log((c + 0.5) / (n1 + 1)) - math.log((c0.get(t, 0) + 0.5) / (n0 + 1)) for t, c in c1.items()}
     expected = {t: c0.get(t, 0) * n1 / max(n0, 1) for t in c1}
     model = Model(chosen_terms(c1, c0, weight, {t: (c - expected[t]) / math.sqrt(expected[t] + 1) for t, c in c1.items()}))
+    model.lexicon |= {w: INSULT_WEIGHT for w in insults if w not in model.lexicon and f"{w}>" not in model.lexicon and f"{w}>" not in c0}
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         machine = model.matcher()
