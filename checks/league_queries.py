@@ -185,11 +185,11 @@ def _(s, sf):
 
 T = ", ".join(Q.TABLE_COLUMNS)
 ACC = "lower(tipo_tabla) = 'acumulado' AND partidos_jugados > 0"
-league_query("Q01_tabla_posiciones", f"SELECT {T} FROM posiciones WHERE {ACC} AND temporada = (SELECT max(temporada) FROM posiciones WHERE {ACC}) ORDER BY posicion, nombre_equipo LIMIT 20")(
+league_query("Q01_tabla_posiciones", f"SELECT {T} FROM posiciones WHERE {ACC} AND temporada = (SELECT max(temporada) FROM posiciones WHERE {ACC}) ORDER BY posicion, nombre_equipo")(
     lambda L: Q.league_table(L.tables))
-league_query("Q01_tabla_sin_acumulado", f"SELECT {T} FROM posiciones WHERE tipo_tabla = 'Apertura' AND partidos_jugados > 0 AND temporada = 1997 ORDER BY posicion, nombre_equipo LIMIT 20")(
+league_query("Q01_tabla_sin_acumulado", f"SELECT {T} FROM posiciones WHERE tipo_tabla = 'Apertura' AND partidos_jugados > 0 AND temporada = 1997 ORDER BY posicion, nombre_equipo")(
     lambda L: Q.league_table(L.tables.filter("tipo_tabla <> 'Acumulado'"), 1997))
-league_query("Q02_clasificacion_historica", f"SELECT {T} FROM posiciones WHERE lower(tipo_tabla) LIKE '%clausura%' AND partidos_jugados > 0 AND temporada = 1998 ORDER BY posicion, tipo_tabla, nombre_equipo LIMIT 20")(
+league_query("Q02_clasificacion_historica", f"SELECT {T} FROM posiciones WHERE lower(tipo_tabla) LIKE '%clausura%' AND partidos_jugados > 0 AND temporada = 1998 ORDER BY posicion, tipo_tabla, nombre_equipo")(
     lambda L: Q.past_table(L.tables, 1998, "Clausura"))
 league_query("Q03_eficiencia_historica", f"""SELECT nombre_equipo, round(sum(puntos) / sum(partidos_jugados), 2) AS ppp_historico, CAST(sum(puntos) AS BIGINT) AS puntos_totales, count(DISTINCT temporada) AS temporadas,
     CAST(sum(partidos_ganados) AS BIGINT) AS victorias_totales, CAST(sum(partidos_jugados) AS BIGINT) AS partidos_totales FROM posiciones WHERE {ACC} GROUP BY 1 ORDER BY ppp_historico DESC, nombre_equipo LIMIT 15""")(
@@ -231,7 +231,7 @@ league_query("Q14_top_goleadores", """SELECT jugador, nombre_equipo, temporada,
 league_query("Q15_vs_jugadores", """SELECT jugador, nombre_equipo, temporada, posicion, partidos_jugados, titularidades, goles, asistencias, minutos_jugados, tarjetas_amarillas, round(ppp, 6) AS ppp FROM stats_vw
     WHERE temporada = 1997 AND (jugador LIKE '%red bolt%' OR (jugador LIKE '%small%' AND jugador LIKE '%anvil%'))""")(
     lambda L: Q.compare_players(L.stats_view, "red bolt", "anvil small", 1997).withColumn("ppp", F.round("ppp", 6)))
-_P10 = "(SELECT * FROM stats_vw WHERE {c} ORDER BY temporada DESC, id_estadistica_jugador LIMIT 10)"
+_P10 = "(SELECT * FROM stats_vw WHERE {c} ORDER BY temporada DESC, id_estadistica_jugador)"
 _ONE, _TWO = _P10.format(c="jugador LIKE '%red%' AND jugador LIKE '%bolt%'"), _P10.format(c="jugador LIKE '%small%' AND jugador LIKE '%ring%'")
 league_query("Q15_temporadas_comunes", f"""SELECT jugador, nombre_equipo, temporada, posicion, partidos_jugados, titularidades, goles, asistencias, tarjetas_amarillas, tarjetas_rojas, minutos_jugados, round(ppp, 6) AS ppp
     FROM (SELECT * FROM {_ONE} UNION ALL SELECT * FROM {_TWO}) WHERE temporada IN (SELECT temporada FROM {_ONE} INTERSECT SELECT temporada FROM {_TWO})
@@ -275,11 +275,11 @@ _XI = f"(SELECT * FROM score_vw WHERE {LAST} AND id_formacion = 4 QUALIFY row_nu
 league_query("Q22_mejor_xi", f"""SELECT jugador, nombre_equipo, alias_equipo, posicion_xi, posicion_xi_nombre, score_100, nivel, foto_url, goles, asistencias, participaciones_gol, partidos_jugados, minutos_jugados, x_coord, y_coord, slot, orden,
     (SELECT round(avg(score_100), 2) FROM {_XI}) AS score_medio_xi FROM {_XI}""")(lambda L: Q.best_eleven(L.score_view, formation=4))
 league_query("Q23_plantilla_equipo", """SELECT jugador, posicion, edad_historica, nacionalidad_principal, pie, numero_camiseta, valor_mercado, nombre_equipo, temporada FROM plantillas_vw WHERE nombre_equipo LIKE '%00007%' AND temporada = (SELECT max(temporada) FROM plantillas_vw)
-    ORDER BY valor_mercado DESC, id_plantilla_equipo LIMIT 25""")(lambda L: Q.team_squad(L.squad_view, "00007"))
+    ORDER BY valor_mercado DESC, id_plantilla_equipo""")(lambda L: Q.team_squad(L.squad_view, "00007"))
 V = "nombre_equipo, temporada, jugadores_en_plantilla, edad_promedio, extranjeros, valor_medio, valor_total"
-league_query("Q24_valoracion_equipos", f"SELECT {V} FROM ft_valor WHERE temporada BETWEEN 1996 AND 1998 ORDER BY temporada, valor_total DESC, nombre_equipo LIMIT 100")(
+league_query("Q24_valoracion_equipos", f"SELECT {V} FROM ft_valor WHERE temporada BETWEEN 1996 AND 1998 ORDER BY temporada, valor_total DESC, nombre_equipo")(
     lambda L: Q.team_values(L.tb_value_history, start=1996, end=1998))
-league_query("Q24_valoracion_ultima", f"SELECT {V} FROM ft_valor WHERE temporada = (SELECT max(temporada) FROM ft_valor) ORDER BY valor_total DESC, nombre_equipo LIMIT 100")(
+league_query("Q24_valoracion_ultima", f"SELECT {V} FROM ft_valor WHERE temporada = (SELECT max(temporada) FROM ft_valor) ORDER BY valor_total DESC, nombre_equipo")(
     lambda L: Q.team_values(L.tb_value_history))
 league_query("Q25_evolucion_valor_liga", """SELECT temporada, round(sum(valor_total) / 1000000, 2) AS valor_total_mm_eur, round(avg(edad_promedio), 1) AS edad_promedio_liga, round(avg(extranjeros), 1) AS extranjeros_promedio,
     count(DISTINCT nombre_equipo) AS equipos FROM ft_valor WHERE temporada >= 1996 GROUP BY 1""")(lambda L: Q.league_value_history(L.tb_value_history, 1996))
@@ -293,9 +293,9 @@ league_query("Q27_vs_detalle", """SELECT equipo, count(*) AS partidos_con_datos,
 league_query("Q28_vs_entrenadores", """SELECT entrenador, count(DISTINCT nombre_equipo) AS equipos_dirigidos, count(DISTINCT temporada) AS temporadas, CAST(sum(partidos) AS BIGINT) AS partidos_totales, round(CAST(sum(CAST(round(ppp * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*), 2) AS ppp_promedio,
     round(max(ppp), 2) AS mejor_ppp_temporada, round(min(ppp), 2) AS peor_ppp_temporada, max(CAST(tiempo_en_cargo AS INT)) AS max_dias_en_cargo FROM ft_entrenadores WHERE partidos >= 3 AND (entrenador LIKE '%000012%' OR entrenador LIKE '%000077%') GROUP BY 1""")(
     lambda L: Q.compare_coaches(L.tb_coach_history, "000012", "000077"))
-league_query("Q29_rendimiento_equipo", f"SELECT {T} FROM posiciones WHERE nombre_equipo LIKE '%00003%' AND partidos_jugados > 0 ORDER BY temporada DESC, tipo_tabla, posicion, nombre_equipo LIMIT 20")(
+league_query("Q29_rendimiento_equipo", f"SELECT {T} FROM posiciones WHERE nombre_equipo LIKE '%00003%' AND partidos_jugados > 0 ORDER BY temporada DESC, tipo_tabla, posicion, nombre_equipo")(
     lambda L: Q.team_performance(L.tables, "00003"))
-league_query("Q30_campeones", "SELECT temporada, a.nombre_equipo AS campeon, b.nombre_equipo AS subcampeon FROM hm_campeones LEFT JOIN dim a ON a.id_equipo = id_equipo_campeon LEFT JOIN dim b ON b.id_equipo = id_equipo_subcampeon ORDER BY temporada DESC LIMIT 20")(
+league_query("Q30_campeones", "SELECT temporada, a.nombre_equipo AS campeon, b.nombre_equipo AS subcampeon FROM hm_campeones LEFT JOIN dim a ON a.id_equipo = id_equipo_campeon LEFT JOIN dim b ON b.id_equipo = id_equipo_subcampeon ORDER BY temporada DESC")(
     lambda L: Q.champions(L.tb_champions, L.tb_dim))
 _MET = ["puntos", "goles_favor", "goles_contra"]
 league_query("Q31_perfil_comparado", """WITH l AS (SELECT * FROM posiciones WHERE tipo_tabla = 'Acumulado' AND nombre_equipo IN ('Supplier#000000001', 'Supplier#000000004') QUALIFY row_number() OVER (PARTITION BY nombre_equipo ORDER BY temporada DESC) = 1),

@@ -218,14 +218,9 @@ CTES["partidos_equipo"] = _side("local", "visitante", "LOCAL") + " UNION ALL " +
 
 
 def _slots() -> str:
-    from matchloom.functions.fixed import SLOT_LINES
-
-    rows = []
-    for formation, line in SLOT_LINES.items():
-        for order, entry in enumerate(line.split(", "), start=1):
-            slot, x, y = entry.split()
-            rows.append(f"({formation}, '{slot}', {order}, '{slot.rstrip('0123456789')}', {x}, {y})")
-    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS t(id_formacion, slot, orden, posicion_xi, x_coord, y_coord)"
+    from matchloom.functions.fixed import SLOTS
+
+    return f"SELECT * FROM (VALUES {', '.join(map(str, SLOTS))}) AS t(id_formacion, slot, orden, posicion_xi, x_coord, y_coord)"
 
 
 CTES["slots"] = _slots()

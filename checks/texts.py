@@ -185,9 +185,9 @@ def _(s, sf):
 
 
 def _vectors(s, sf):
-    """Embedding elements as features and the label as group."""
+    """Sums of eight neighbouring embedding elements as features, so that all elements count, and the label as group."""
     e = table(s, sf, "embeddings")
-    return e.select("vec_id", F.concat(F.lit("g"), F.col("label").cast("string")).alias("grupo"), *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(8)])
+    return e.select("vec_id", F.concat(F.lit("g"), F.col("label").cast("string")).alias("grupo"), *[F.aggregate(F.slice("embedding", 8 * i + 1, 8), F.lit(0.0), lambda t, x: t + x.cast("double")).alias(f"f{i}") for i in range(8)])
 
 
 _FEATS = {f"g{i}": [f"f{j}" for j in range(8)] for i in range(10)}
@@ -207,7 +207,7 @@ def _(s, sf):
                                     (F.round(F.var_pop("score_ml") / 8, 6) == F.round(F.max("var_explicada"), 6)).cast("int").alias("parte"))
 
 
-@query("L3_scale_by_group", "SELECT vec_id, round((embedding[1]::DOUBLE - min(embedding[1]::DOUBLE) OVER w) / (max(embedding[1]::DOUBLE) OVER w - min(embedding[1]::DOUBLE) OVER w) * 100, 6) AS score_100 FROM embeddings WINDOW w AS (PARTITION BY label)")
+@query("L3_scale_by_group", "WITH f AS (SELECT vec_id, label, list_sum(embedding::DOUBLE[][1:8]) AS f0 FROM embeddings) SELECT vec_id, round((f0 - min(f0) OVER w) / (max(f0) OVER w - min(f0) OVER w) * 100, 6) AS score_100 FROM f WINDOW w AS (PARTITION BY label)")
 def _(s, sf):
     return ranking.minmax_by(_vectors(s, sf), "grupo", "f0", digits=6).select("vec_id", "score_100")
 

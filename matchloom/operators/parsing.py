@@ -34,14 +34,14 @@ def _whole(c: Column) -> Column:
     return F.when(c.rlike(r"^\d+$"), c.try_cast("int"))
 
 
-def html_table_rows(df: DataFrame, c: str, min_rows: int = 5) -> DataFrame:
+def html_table_rows(df: DataFrame, c: str) -> DataFrame:
     """Standings rows of tables whose header names position, team and points; bad rows are dropped."""
     keep = [x for x in df.columns if x != c]
     tables = F.regexp_extract_all(F.col(c), F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), F.lit(1))
     listed = df.select(*keep, F.posexplode(tables).alias("tabla", "_table"))
     rows = F.regexp_extract_all(F.col("_table"), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    split = listed.select(*keep, "tabla", rows.alias("_rows")).filter(F.size("_rows") >= min_rows)
-    head = F.lower(F.array_join(F.slice(_cells(F.try_element_at("_rows", F.lit(1))), 1, 4), " "))
+    split = listed.select(*keep, "tabla", rows.alias("_rows"))
+    head = F.lower(F.array_join(_cells(F.try_element_at("_rows", F.lit(1))), " "))
     marked = split.filter(head.contains("pos.") & head.contains("equipo") & head.contains("pts."))
     body = (marked.select(*keep, "tabla", F.posexplode("_rows").alias("fila", "_row")).filter(F.col("fila") > 0)
             .withColumn("_c", _cells(F.col("_row"))).filter(F.size("_c") >= 9))
@@ -110,8 +110,7 @@ def layout_by_arity(df: DataFrame, cells: str) -> DataFrame:
 def classify_cells(df: DataFrame, cells: str, value: str | None = None, flags: str | None = None) -> DataFrame:
     """Squad fields recognised by the form of the cells, wherever they stand in the row."""
     c = F.transform(F.col(cells), lambda x: F.trim(x))
-    later = F.slice(c, 3, 1000000)
-    near = F.slice(c, 3, 5)
+    later = F.slice(c, 3, F.greatest(F.size(c), F.lit(0)))
 
     def is_date(x: Column) -> Column:
         return x.rlike(r"\d{2}/\d{2}/\d{4}")
@@ -119,7 +118,7 @@ def classify_cells(df: DataFrame, cells: str, value: str | None = None, flags: s
     feet = F.filter(c, lambda x: F.lower(x).isin(list(fixed.FOOT_NAMES)))
     out = {
         "numero": F.coalesce(F.nullif(F.get(c, F.lit(0)), F.lit("")), F.lit("Sin Número")),
-        "fecha_nacimiento": F.coalesce(F.get(F.filter(near, is_date), F.lit(0)), F.lit("")),
+        "fecha_nacimiento": F.coalesce(F.get(F.filter(later, is_date), F.lit(0)), F.lit("")),
         "altura": F.coalesce(F.get(F.filter(c, lambda x: x.rlike(r"^\d,\d{2}m")), F.lit(0)), F.lit("")),
         "pie": F.coalesce(text.map_label(F.lower(F.get(feet, F.lit(0))), fixed.FOOT_NAMES), F.lit("")),
         "fecha_fichaje": F.coalesce(F.get(F.filter(later, is_date), F.lit(1)), F.lit("")),
@@ -127,6 +126,6 @@ def classify_cells(df: DataFrame, cells: str, value: str | None = None, flags: s
     if value is not None:
         out["valor_mercado"] = F.coalesce(F.trim(value), F.lit(""))
     if flags is not None:
-        out["nacionalidad"] = F.substring(F.array_join(F.filter(F.col(flags), lambda x: x != ""), ", "), 1, 50)
+        out["nacionalidad"] = F.array_join(F.filter(F.col(flags), lambda x: x != ""), ", ")
     keep = [F.col(f"`{x}`") for x in df.columns if x not in (cells, value, flags)]
     return df.filter(F.size(cells) >= 5).select(*keep, *[v.alias(k) for k, v in out.items()])

@@ -167,5 +167,7 @@ def streaks(df: DataFrame, key: Sequence[str], order: Order, cond: Column) -> Da
                    F.count(F.lit(1)).alias("racha")).drop("_run")
 
 
-def top_n(df: DataFrame, order: Order, n: int) -> DataFrame:
-    return df.orderBy(*sort_columns(order)).limit(n)
+def top_n(df: DataFrame, order: Order, n: int | None = None) -> DataFrame:
+    """The first n rows of an order; all rows in that order for None."""
+    ordered = df.orderBy(*sort_columns(order))
+    return ordered if n is None else ordered.limit(n)

@@ -323,12 +323,13 @@ def patch_players(raw: DataFrame) -> DataFrame:
 
 
 def patch_squads(raw: DataFrame, catalog: DataFrame, players_dim: DataFrame, as_of: Column | None = None) -> Split:
-    """Squads rebuilt by player name; further rows of one player, team and season are rejected."""
+    """Squads rebuilt by player name; unknown teams and players and further rows of a key are rejected."""
     columns = ["club", "temporada", "jugador", "numero", "posicion", "fecha_fichaje", "fuente"]
     rows = one_per(shape.select_or_null(raw, columns), ["club", "temporada", "jugador"])
     with_id, no_team = with_team(rows, catalog)
     dim = players_dim.select(text.join_name("jugador").alias("_player"), "id_jugador").filter(F.col("_player").isNotNull())
-    keyed = with_id.join(dim, text.join_name("jugador") == F.col("_player"), "inner").drop("_player")
+    named = with_id.withColumn("_name", text.join_name("jugador"))
+    keyed, no_player = joins.match_split(named, dim, {"_name": "_player"}, "SIN_MATCH_MD_PLANTILLAS", ["id_jugador"])
     season = F.col("temporada").try_cast("int")
     place = text.position_name("posicion", fixed.PATCH_POSITION_NAMES)
     table = keyed.select(
@@ -339,4 +340,5 @@ def patch_squads(raw: DataFrame, catalog: DataFrame, players_dim: DataFrame, as_
         _now(as_of).alias("fecha_carga"), season.alias("periodo"))
     kept, repeated = ranking.split_duplicates(table, ["id_equipo", "id_jugador", "temporada"],
                                               [("id_plantilla_equipo", "asc"), ("numero_camiseta", "asc")])
-    return kept, no_team.unionByName(repeated, allowMissingColumns=True)
+    rejected = no_team.unionByName(no_player.drop("_name"), allowMissingColumns=True)
+    return kept, rejected.unionByName(repeated, allowMissingColumns=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from ..functions import dates, fixed, measures, text
 from ..operators import filters, joins, ranking, sets
 
 ACCUMULATED = "Acumulado"
-MAX_SLOTS = 11
+# The most slots a formation has for one eleven code.
+MAX_SLOTS = max(Counter((f, code) for f, _, _, code, _, _ in fixed.SLOTS).values())
 
 # Measures of a match that become one column per team; the source adds the side to the name.
 TEAM_MATCH_MEASURES = [
@@ -95,13 +98,8 @@ def styles(spark: SparkSession) -> DataFrame:
 
 
 def formation_slots(spark: SparkSession) -> DataFrame:
-    rows = []
-    for formation, line in fixed.SLOT_LINES.items():
-        for order, entry in enumerate(line.split(", "), start=1):
-            slot, x, y = entry.split()
-            rows.append((formation, slot, order, slot.rstrip("0123456789"), int(x), int(y)))
     return spark.createDataFrame(
-        rows, "id_formacion int, slot string, orden int, posicion_xi string, x_coord int, y_coord int")
+        fixed.SLOTS, "id_formacion int, slot string, orden int, posicion_xi string, x_coord int, y_coord int")
 
 
 def squad_history_view(history: DataFrame) -> DataFrame:
