@@ -177,6 +177,32 @@ _SRC = """(SELECT c_custkey * 2 AS k, CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 T
     CASE WHEN c_custkey % 5 > 0 THEN c_nationkey + 100 END AS a FROM customer) s"""
 
 
+@query("K04_replace_where_into", "SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1998 THEN 'new' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def _(s, sf):
+    path = scratch_dir(s)
+    rows = table(s, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
+    writers.write_dynamic_partitions(rows, path, ["y"])
+    writers.replace_where_into(path, rows.filter("y = 1998").withColumn("o_orderstatus", F.lit("new")), F.col("y") == 1998, ["y"])
+    return s.read.parquet(path).drop("y")
+
+
+@query("K07_update_into", """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 AND c_nationkey < 7 THEN 'P' || c_nationkey ELSE c_mktsegment END AS c_mktsegment FROM customer""")
+def _(s, sf):
+    path, c = scratch_dir(s), table(s, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    writers.write_dynamic_partitions(c, path, ["c_nationkey"])
+    patch = c.filter("c_custkey % 5 = 0 and c_nationkey < 7").select(F.col("c_custkey").alias("k"), F.concat(F.lit("P"), F.col("c_nationkey").cast("string")).alias("c_mktsegment"))
+    writers.update_into(path, patch, F.col("c_custkey"), "k", ["c_nationkey"])
+    return s.read.parquet(path).select("c_custkey", "c_mktsegment")
+
+
+@query("K11_replace_by_key_into", "SELECT c_custkey, CASE WHEN c_nationkey < 10 THEN 'B' ELSE 'A' END AS v FROM customer")
+def _(s, sf):
+    path, c = scratch_dir(s), table(s, sf, "customer").select("c_custkey", "c_nationkey", F.lit("A").alias("v"))
+    writers.write_dynamic_partitions(c, path, ["c_nationkey"])
+    writers.replace_by_key_into(path, c.filter("c_nationkey < 10").withColumn("v", F.lit("B")), ["c_custkey", "c_nationkey"], ["c_nationkey"])
+    return s.read.parquet(path).select("c_custkey", "v")
+
+
 @query("K05_merge_upsert", f"""SELECT coalesce(c_custkey, k) AS c_custkey, CASE WHEN k IS NULL THEN c_name ELSE n END AS c_name,
     CASE WHEN k IS NULL THEN c_mktsegment ELSE m END AS c_mktsegment, CASE WHEN k IS NULL THEN c_nationkey ELSE a END AS c_nationkey
     FROM customer FULL JOIN {_SRC} ON c_custkey = k""")
@@ -805,7 +831,7 @@ def _arrivals(s, sf):
 def _(s, sf):
     src, out, ckpt = _arrivals(s, sf), scratch_dir(s), scratch_dir(s)
     rows = ingest.landing_stream(s, src, table(s, sf, "events").schema, max_files=200).drop("day")
-    q = ingest.ingest_stream(rows, ckpt, ingest.upsert_into(out, ["user_id"], latest="ts", newest=True))
+    q = ingest.ingest_stream(rows, ckpt, ingest.upsert_into(out, ["user_id", "bucket"], lambda d: d.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(8))), latest="ts", newest=True, by=["bucket"]))
     q.awaitTermination()
     return s.read.parquet(out).select("user_id", "event_id", "event_type")
 

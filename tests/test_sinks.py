@@ -38,6 +38,44 @@ def test_update_only_never_inserts(spark):
     assert rows(got) == [(" Ana ", "x", 1.8), ("Luis", "y", 2.0)]
 
 
+def test_an_interrupted_swap_loses_nothing(spark, folder):
+    path = f"{folder}/t"
+    spark.range(5).write.parquet(path)
+    os.rename(path, f"{path}__prev")  # stopped between the two renames
+    handle = ingest.upsert_into(path, ["id"])
+    handle(spark.range(5, 6), 0)
+    assert rows(spark.read.parquet(path)) == [(i,) for i in range(6)]
+    spark.range(1).write.parquet(f"{path}__prev")  # stopped before the old folder was deleted
+    handle(spark.range(6, 7), 1)
+    assert rows(spark.read.parquet(path)) == [(i,) for i in range(7)]
+    assert not os.path.exists(f"{path}__prev") and not os.path.exists(f"{path}__next")
+
+
+def test_partition_scoped_writers(spark, folder):
+    path, keys = f"{folder}/t", ["k", "p"]
+    schema = "k int, p int, v string"
+    writers.merge_into(path, spark.createDataFrame([(1, 0, "a"), (2, 0, "b"), (3, 1, "c"), (4, None, "d")], schema), keys, ["p"])
+    other = set(os.listdir(f"{path}/p=1"))
+    batch = spark.createDataFrame([(2, 0, "B", 7), (5, 2, "e", 8)], schema + ", extra int")
+    for _ in range(2):  # a replay changes nothing
+        writers.merge_into(path, batch, keys, ["p"], lambda old, new, ks: writers.merge_upsert(old, new, ks))
+    got = spark.read.option("mergeSchema", True).parquet(path).select("k", "p", "v")
+    assert set(os.listdir(f"{path}/p=1")) == other
+    assert rows(got) == sorted([(1, 0, "a"), (2, 0, "B"), (3, 1, "c"), (4, None, "d"), (5, 2, "e")], key=repr)
+    writers.replace_where_into(path, spark.createDataFrame([(9, 0, "z")], schema), F.col("p") <= 1, ["p"])
+    assert rows(spark.read.parquet(path).select("k", "p").filter("p is not null")) == [(5, 2), (9, 0)]
+    assert not os.path.exists(f"{path}/p=1")
+
+
+def test_a_replayed_batch_counts_once(spark, folder):
+    handle = ingest.with_quality(ingest.upsert_into(f"{folder}/t", ["k", "p"], by=["p"]), lambda b: filters.split_rule(b, F.col("v") >= 0), "e", "UDV", "k", f"{folder}/rej", f"{folder}/met")
+    batch = spark.createDataFrame([(1, 0, 1), (2, 0, -1)], "k int, p int, v int")
+    for _ in range(3):
+        handle(batch, 4)
+    assert spark.read.parquet(f"{folder}/rej").count() == 1 and spark.read.parquet(f"{folder}/met").count() == 1
+    assert spark.read.parquet(f"{folder}/t").count() == 1
+
+
 def test_dynamic_partitions_leave_others_untouched(spark, folder):
     path = f"{folder}/t"
     df = spark.createDataFrame([(1, 2020), (2, 2021)], "v int, periodo int")
