@@ -207,7 +207,7 @@ def _(s, sf):
                                     (F.round(F.var_pop("score_ml") / 8, 6) == F.round(F.max("var_explicada"), 6)).cast("int").alias("parte"))
 
 
-@query("L3_scale_by_group", "WITH f AS (SELECT vec_id, label, list_sum(embedding::DOUBLE[][1:8]) AS f0 FROM embeddings) SELECT vec_id, round((f0 - min(f0) OVER w) / (max(f0) OVER w - min(f0) OVER w) * 100, 6) AS score_100 FROM f WINDOW w AS (PARTITION BY label)")
+@query("L3_scale_by_group", "WITH f AS (SELECT vec_id, label, list_sum((embedding::DOUBLE[])[1:8]) AS f0 FROM embeddings) SELECT vec_id, round((f0 - min(f0) OVER w) / (max(f0) OVER w - min(f0) OVER w) * 100, 6) AS score_100 FROM f WINDOW w AS (PARTITION BY label)")
 def _(s, sf):
     return ranking.minmax_by(_vectors(s, sf), "grupo", "f0", digits=6).select("vec_id", "score_100")
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, measures, text
 from ..operators import aggregates, filters, ranking
+from ..session import scratch_dir
 
 RATES = {
     "goles_p90": (("goles",), 1),
@@ -104,10 +105,11 @@ def _standardised(group: str, by_group: Mapping[str, Sequence[str]]) -> Column:
 def component_scores(features: DataFrame, group: str = "posicion_xi",
                      by_group: Mapping[str, Sequence[str]] = fixed.SCORE_FEATURES,
                      sign_of: Mapping[str, str] = fixed.SCORE_SIGN_REFERENCE, score: str = "score_ml") -> DataFrame:
-    """Adds the score, the explained share and the z-scored features `_z`; groups below two rows are left out."""
+    """Adds the score, the explained share and the z-scored features `_z`; the score is NULL in groups below two rows
+    and in groups without a configuration."""
     weights = component_weights(features, group, by_group, sign_of)
     # At most one row per configured group, so the broadcast is bounded by the configuration.
-    joined = features.join(F.broadcast(weights), group).withColumn("_z", _standardised(group, by_group))
+    joined = features.join(F.broadcast(weights), group, "left").withColumn("_z", _standardised(group, by_group))
     dot = F.aggregate(F.zip_with("_z", "_weight", lambda z, w: z * w), F.lit(0.0), lambda acc, x: acc + x)
     return joined.withColumn(score, dot).drop("_feats", "_mean", "_dev", "_weight")
 
@@ -130,7 +132,9 @@ def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
 
     One model per position, a few fitted at a time; groups with fewer than 2k rows get no level.
     """
-    scored = scored.persist()
+    path = scratch_dir(scored.sparkSession)
+    scored.write.parquet(path)
+    scored = scored.sparkSession.read.parquet(path)
     sizes = {r[group]: r["n"] for r in scored.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect() if r[group] in by_group}
     parts = [scored.filter(~F.coalesce(F.col(group).isin([g for g, n in sizes.items() if n >= 2 * k]), F.lit(False)))
              .withColumn("nivel_num", F.lit(None).cast("int"))]
