@@ -13,7 +13,7 @@ HEADLINE = [
     "G4_ft_partidos_detalle", "G8_ft_estadisticas_jugadores", "J03_any_of_three_names", "J04_two_roles", "J05_match_split", "K05_merge_upsert", "N03_dynamic_keys",
     "Q01_tabla_posiciones", "Q03_eficiencia_historica", "Q08_mayor_goleada", "Q14_top_goleadores", "Q16_score_ml", "Q22_mejor_xi", "U01_unpivot_roles", "V04_posiciones",
     "V05_partidos_equipo", "V08_once_ponderado", "W01_latest_row", "W02_latest_non_blank", "W03_league_position", "W04_dense_rank", "W09_minmax_scale", "W11_streaks",
-    "Y02_intents_and_route", "Y04_mentions",
+    "Y02_intents_and_route", "Y04_mentions", "Y05_versus_pair", "G9_ft_score_ml", "X01_incremental_upsert",
 ]
 
 # Tables written before the questions are timed, as a scheduled load would.

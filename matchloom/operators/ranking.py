@@ -80,30 +80,30 @@ def _reversed(c: str, kind: str) -> Column:
     return -F.col(c)
 
 
-def _range_number(lo: int, hi: int) -> Column:
-    """How many of the sorted bounds lie at or before the row, by halving; absent bounds lie after every row."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    reached = F.get("_bounds", F.lit(mid)) <= F.col("_k")
-    return F.when(reached, _range_number(mid + 1, hi)).otherwise(_range_number(lo, mid))
+def _range_number(splits: int) -> Column:
+    """How many of the sorted bounds lie at or before the row, by halving steps; absent bounds lie after every row."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, splits - 1).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(F.col("_bounds"), at + step - 1) <= F.col("_k"), at + step).otherwise(at))
 
 
 def rank_table(df: DataFrame, part: Sequence[str], order: Order, name: str = "posicion",
-               splits: int = 16) -> DataFrame:
+               splits: int | None = None) -> DataFrame:
     """Exact row number inside each group, with the largest group spread over many tasks.
 
     Rows are cut into ranges of the (group, order) key at bounds taken from a fixed-size hash sample of
     the data. The number of a row is its number inside its range plus the rows of earlier ranges of
-    its group. The bounds only decide how the work is cut; the result does not depend on them.
+    its group. The bounds only decide how the work is cut; the result does not depend on them. There are as many
+    ranges as the session has shuffle partitions, 16 at least.
     """
+    if splits is None:
+        splits = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keyed = df.withColumn("_k", F.struct(*[F.col(p) for p in part], _sort_struct(df, order).alias("_o")))
     sample = (keyed.select("_k").orderBy(F.xxhash64("_k"), "_k").limit(splits * 24)
               .agg(F.sort_array(F.collect_list("_k")).alias("s")))
     picked = F.filter("s", lambda _, i: (i + 1) % 24 == 0)
     bounds = sample.select(picked.alias("b")).scalar()
     cut = (keyed.withColumn("_bounds", bounds)
-           .withColumn("_cut", _range_number(0, splits - 1)).drop("_bounds"))
+           .withColumn("_cut", _range_number(splits)).drop("_bounds"))
 
     # Ranges are counted once here; the offsets are one small row per group and range.
     before = Window.partitionBy(*part).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)

@@ -27,6 +27,18 @@ def test_rank_table_is_exact_with_a_hot_group(spark):
     assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == 6000
 
 
+def test_rank_table_spreads_a_hot_group(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise("rest").alias("g"), "id")
+    keyed = df.withColumn("_k", F.struct("g", "id"))
+    bounds = [(("hot", i * 100),) for i in range(1, 50)]
+    listed = spark.createDataFrame([(bounds_row,) for bounds_row in [[b[0] for b in bounds]]], "b array<struct<g string, id bigint>>")
+    cut = keyed.crossJoin(listed.withColumnRenamed("b", "_bounds")).select("g", "id", ranking._range_number(50).alias("c"))
+    assert all(r.c == min(49, r.id // 100) for r in cut.filter("g = 'hot'").collect())
+    got = ranking.rank_table(df, ["g"], [("id", "desc")], splits=40)
+    want = df.withColumn("posicion", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("id"))))
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == 5000
+
+
 def test_rank_table_of_equal_rows_and_small_input(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), (None, None, 3)], "g string, v int, id int")
     got = ranking.rank_table(df, ["g"], [("v", "desc"), ("id", "asc")]).collect()
