@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,25 +29,87 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Fixed value: how the vocabulary's file splits lower-cased text before merging.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+PLAIN = regex.compile(r"[\x21-\x7E\u00A1-\u012F\u0131-\u024F]+")
+
+
 class Tokens(dict):
     """Little-endian 32-bit ids of each run of non-space bytes. White space ends every token, so a text's ids are those of
-    its runs. Forgets when it grows beyond `most` runs; long runs are not kept."""
+    its runs; and in runs of Latin letters and signs, which normalising leaves alone, those of the parts that the vocabulary
+    merges apart. Both caches forget when they are full; long runs are not kept."""
 
-    def __init__(self, vocabulary: str, most: int = 300_000):
+    def __init__(self, vocabulary: str, most: int = 600_000, most_parts: int = 1_500_000):
         from tokenizers import Tokenizer
 
-        self.most, self.tokenizer = most, Tokenizer.from_file(vocabulary)
+        self.most, self.most_parts, self.tokenizer = most, most_parts, Tokenizer.from_file(vocabulary)
+        self.parts: dict[str, bytes] = {}
+        words = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(words.values()) + 1, bool)  # ids that end a part
+        self.last[[i for t, i in words.items() if t.endswith("</w>")]] = True
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def part(self, text: str) -> bytes:
+        ids = self.parts.get(text)
+        if ids is None:
+            if len(self.parts) >= self.most_parts:
+                self.parts.clear()
+            self.parts[text] = ids = self.encode(text)
+        return ids
+
+    def learn(self, runs: set[bytes]) -> None:
+        """Encodes the new parts of many runs together, which is faster than one by one."""
+        new: set[str] = set()
+        for run in runs:
+            text = run.decode("utf-8")
+            if self.plain(run, text):
+                new.update(p for p in PIECES.findall(text.lower()) if p not in self.parts)
+        if len(self.parts) + len(new) > self.most_parts:
+            self.parts.clear()
+        ordered = list(new)
+        for at in range(0, len(ordered), 1000):
+            some = ordered[at : at + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                data, before = ids.tobytes(), 0
+                for part, end in zip(some, (4 * ends).tolist(), strict=True):
+                    self.parts[part] = data[before:end]
+                    before = end
+
+    @staticmethod
+    def plain(run: bytes, text: str) -> bool:
+        return len(run) <= 64 and "<|" not in text and PLAIN.fullmatch(text) is not None
 
     def __missing__(self, run: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(run.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
+        text = run.decode("utf-8")
+        if not self.plain(run, text):
+            ids = self.encode(text)
+        else:
+            ids = b"".join(map(self.part, PIECES.findall(text.lower())))
         if len(run) <= 64:
             if len(self) >= self.most:
                 self.clear()
             self[run] = ids
         return ids
 
+    def of_all(self, texts) -> Iterator[bytes]:
+        for at in range(0, len(texts), 200):
+            split = [C.words(t) for t in texts[at : at + 200]]
+            self.learn({w for ws in split for w in ws if w not in self})
+            for ws in split:
+                yield b"".join(map(self.__getitem__, ws))
+
     def of(self, text) -> bytes:
-        return b"".join(map(self.__getitem__, C.words(text)))
+        return next(self.of_all([text]))
+
+
+@lru_cache(maxsize=2)
+def tokens_of(vocabulary: str) -> Tokens:
+    """One for all tasks of a worker process."""
+    return Tokens(vocabulary)
 
 
 def pieces(df: DataFrame, id_col: str, text_col: str, vocabulary: str, limit: int, end_id: int) -> DataFrame:
@@ -53,11 +117,11 @@ def pieces(df: DataFrame, id_col: str, text_col: str, vocabulary: str, limit: in
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = Tokens(vocabulary)
+        tokens = tokens_of(vocabulary)
         for pdf in batches:
             out = []
-            for i, text in zip(pdf["id"], pdf["text"], strict=True):
-                ids = tokens.of(text) + end
+            for i, ids in zip(pdf["id"], tokens.of_all(pdf["text"].tolist()), strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * limit)):
                     cut = ids[at : at + 4 * limit]
                     out.append((None if pd.isna(i) else int(i), k, at // 4, len(cut) // 4, zlib.crc32(cut)))
