@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PAGE = 48
+PAGE = 256
 FEWEST_SHARDS = 24
 LARGEST_SHARD = 65_536
 EXACT = 2.0**52
@@ -56,6 +56,7 @@ class MTree:
         self.entries: list[np.ndarray] = []
         self.parent_distance: list[np.ndarray] = []
         self.radii: list[np.ndarray | None] = []
+        self.routers: list[np.ndarray | None] = []
         self.seed = np.random.default_rng(len(ids))
         if len(ids):
             self.build(np.arange(len(ids)), 0)
@@ -72,6 +73,7 @@ class MTree:
         to_router = self.distances(router, members)
         self.parent_distance.append(to_router)
         self.radii.append(None)
+        self.routers.append(None)
         if len(members) > self.page:
             fan = min(self.page, -(-len(members) // self.page) + 1, 16)
             centres, near = [], np.full(len(members), np.inf)
@@ -89,7 +91,8 @@ class MTree:
             kept = [c for c in range(fan) if (part == c).any()]
             children = [self.build(members[part == c], centres[c]) for c in kept]
             self.entries[node] = np.array([n for n, _ in children])
-            self.parent_distance[node] = self.distances(router, np.array([centres[c] for c in kept]))
+            self.routers[node] = np.array([centres[c] for c in kept])
+            self.parent_distance[node] = self.distances(router, self.routers[node])
             self.radii[node] = np.array([r for _, r in children])
         return node, float(to_router.max())
 
@@ -119,6 +122,12 @@ class MTree:
                 if not len(js):
                     continue
                 s = self.scores(q, js)
+                if len(best) == k:
+                    better = s >= best[0][0]
+                    s, js = s[better], js[better]
+                elif len(s) > k + 1:  # the page's k best and their ties, and the query itself
+                    better = s >= np.partition(s, -k - 1)[-k - 1]
+                    s, js = s[better], js[better]
                 for score, j in zip(s.tolist(), js.tolist(), strict=True):
                     i = int(self.ids[j])
                     if i == query_id:
@@ -133,7 +142,7 @@ class MTree:
                 open_ = np.flatnonzero(gap - radii <= limit + slack)
                 if len(open_):
                     nodes = entries[open_]
-                    d = to(np.array([self.router[n] for n in nodes]))
+                    d = to(self.routers[node][open_])
                     for n, dn, low in zip(nodes.tolist(), d.tolist(), np.maximum(d - radii[open_], 0.0).tolist(), strict=True):
                         if low <= limit + slack:
                             heapq.heappush(queue, (low, n, dn))
