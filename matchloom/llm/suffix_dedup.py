@@ -22,7 +22,7 @@ from . import common as C
 
 GRAM = 16
 BLOCK = 1 << 20
-HOT = 400
+HOT = 1000
 PRE = 128
 START = 128
 SPAN = np.dtype([("row", "<i4"), ("s", "<i4"), ("e", "<i4")])
@@ -232,13 +232,14 @@ def send_segments(length: int, n_buckets: int):
             return pd.DataFrame(columns=["bucket", "shard", "kind", "data"])
         few, many = known["h"][known["n"] == 1], known["h"][known["n"] == 2]
         segments: dict[tuple[int, bytes], list[tuple[int, int]]] = defaultdict(list)
-        hot = []
+        hot, rows_with_hot = [], []
         for k, b, g, low, _ in Shard(pdf, length).anchors():
             for s, e in zip(*C.joined_runs(C.member(low, few)), strict=True):
                 cut = np.flatnonzero(low[s + 1 : e] != low[s : e - 1]) + s + 1
                 for i, j in zip([s, *cut.tolist()], [*cut.tolist(), e], strict=True):
                     segments[int(low[i]), b[i : j - 1 + length]].append((k, int(i)))
             if len(many) and (at := C.member(low, many)).any():
+                rows_with_hot.append(k)
                 ha, hb = window_hashes(g, length)
                 w = np.zeros(int(at.sum()), WINDOW)
                 w["a"], w["b"] = ha[at], hb[at]
@@ -250,6 +251,7 @@ def send_segments(length: int, n_buckets: int):
         if hot:
             w = distinct_windows(np.concatenate(hot))
             out.append(C.packed(key[0], w, w["a"], n_buckets, 1))
+            out.append(pd.DataFrame({"bucket": [key[0] % n_buckets], "shard": [key[0]], "kind": [2], "data": [np.array(rows_with_hot, "<i4").tobytes()]}))
         return pd.concat(out).astype({"bucket": "int32", "shard": "int32", "kind": "int32"})
 
     return run
@@ -297,6 +299,7 @@ def meet_segments(length: int):
             group = np.cumsum(new) - 1
             keep = (np.bincount(group)[group] > 1) | (rows["m"] > 0)
             found.append(C.reply(rows[keep], shard[keep], 1))
+        found.append(pdf.loc[pdf["kind"] == 2, ["shard", "kind", "data"]])  # to the sender itself
         return pd.concat(found).astype({"shard": "int32", "kind": "int32"})
 
     return run
@@ -314,14 +317,15 @@ def finish(length: int, with_text: bool):
             np.add.at(d, x["e"], -1)
             gone[int(row)] = np.cumsum(d[:-1]) > 0
         hot = np.sort(C.unpacked(back[back["kind"] == 1], WINDOW)[0], order=["a", "b"])
+        hot_a, hot_b = np.ascontiguousarray(hot["a"]), np.ascontiguousarray(hot["b"])
         if len(hot):
-            for k, b in enumerate(shard.texts):
-                if len(b) >= length:
-                    ha, hb = window_hashes(byte_grams(b), length)
-                    at = np.minimum(np.searchsorted(hot["a"], ha), len(hot) - 1)
-                    hit = (hot["a"][at] == ha) & (hot["b"][at] == hb)
-                    if hit.any():
-                        gone[k] = gone.get(k, np.zeros(len(b), bool)) | C.covered(hit, length, len(b))
+            for k in C.unpacked(back[back["kind"] == 2], "<i4")[0].tolist():
+                b = shard.texts[k]
+                ha, hb = window_hashes(byte_grams(b), length)
+                at = np.minimum(np.searchsorted(hot_a, ha), len(hot) - 1)
+                hit = (hot_a[at] == ha) & (hot_b[at] == hb)
+                if hit.any():
+                    gone[k] = gone.get(k, np.zeros(len(b), bool)) | C.covered(hit, length, len(b))
         kept = [np.frombuffer(b, np.uint8)[~gone[k]].tobytes() if k in gone else b for k, b in enumerate(shard.texts)]
         return pd.DataFrame({
             "doc_id": pd.array(shard.ids, "Int64"), "n_bytes": [len(b) for b in shard.texts], "n_removed": [len(b) - len(x) for b, x in zip(shard.texts, kept, strict=True)],
