@@ -1,7 +1,7 @@
 """Removal of repeated passages of words by phrase automata.
 
 Every window of `window` words has an anchor, its smallest 8-word hash. Only windows whose anchor occurs twice can recur;
-shards exchange anchors first, then the 128-bit hashes of those windows with their first place. Each shard thus learns which
+shards exchange anchors first, then the 96-bit hashes of those windows with their first place. Each shard thus learns which
 of its windows start earlier elsewhere, joins neighbours of one source to passages, compiles the passages to Aho-Corasick
 automata of bounded size and streams all its documents through them; every hit that starts later than its source is removed.
 """
@@ -20,8 +20,8 @@ from . import common as C
 GRAM = 8
 NODES = 600_000
 ALPHABET = "".join(map(chr, range(48, 112)))
-PLACE = np.dtype([("a", "<u8"), ("b", "<u8"), ("d", "<i8"), ("s", "<i4"), ("m", "u1")])
-FIRST = np.dtype([("a", "<u8"), ("b", "<u8"), ("d", "<i8"), ("s", "<i4")])
+PLACE = np.dtype([("a", "<u8"), ("b", "<u4"), ("d", "<i8"), ("s", "<i4"), ("m", "u1")])
+FIRST = np.dtype([("a", "<u8"), ("b", "<u4"), ("d", "<i8"), ("s", "<i4")])
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
@@ -116,20 +116,26 @@ def meet_windows(pdf: pd.DataFrame) -> pd.DataFrame:
 def passages(shard: Shard, first: np.ndarray) -> dict[tuple, tuple[int, int]]:
     """Maximal runs of this shard's windows that continue one earlier source: words -> the source's place."""
     first = first[np.lexsort((first["b"], first["a"]))]
+    fa, fb, fd, fs = (np.ascontiguousarray(first[c]) for c in ("a", "b", "d", "s"))
     found: dict[tuple, tuple[int, int]] = {}
     for k, x in enumerate(shard.hashes):
         if len(x) < shard.window:
             continue
-        a, b = C.gram_hash(x, shard.window, 1), C.gram_hash(x, shard.window, 2)
-        at = np.minimum(np.searchsorted(first["a"], a), len(first) - 1)
-        while True:  # equal first halves are next to each other
-            behind = (first["a"][at] == a) & (first["b"][at] < b) & (at + 1 < len(first))
+        a = C.gram_hash(x, shard.window, 1)
+        at = np.minimum(np.searchsorted(fa, a), len(fa) - 1)
+        same = fa[at] == a
+        if not same.any():
+            continue
+        b = C.gram_hash(x, shard.window, 2).astype(np.uint32)
+        while True:  # equal first parts are next to each other
+            behind = same & (fb[at] < b) & (at + 1 < len(fa))
             if not behind.any():
                 break
             at = at + behind
-        d, s = first["d"][at], first["s"][at].astype(np.int64)
+            same = fa[at] == a
+        d, s = fd[at], fs[at].astype(np.int64)
         here = np.arange(len(a))
-        hit = (first["a"][at] == a) & (first["b"][at] == b) & ((d < shard.ids[k]) | (d == shard.ids[k]) & (s < here))
+        hit = same & (fb[at] == b) & ((d < shard.ids[k]) | (d == shard.ids[k]) & (s < here))
         for lo, hi in zip(*C.joined_runs(hit), strict=True):
             cut = np.flatnonzero((np.diff(d[lo:hi]) != 0) | (np.diff(s[lo:hi]) != 1)) + lo + 1
             for i, j in zip([lo, *cut], [*cut, hi], strict=True):
