@@ -233,31 +233,31 @@ class Groups:
         return True
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) with the smallest reachable node, for every node of the (a, b) edges.
 
-    Each round a node hands its larger smaller-neighbours to its smallest one, until every node has one parent; then
-    parents are followed by pointer jumping. A node is keyed by its own row, and has as many rows as smaller neighbours,
-    so a popular parent is no hot key of an aggregation; the joins' both sides come from stored tables, which lets AQE
-    split popular parents. Null or self edges are ignored."""
+    Until every node has one parent, rounds of two steps: every edge moves its smaller end to that end's smallest neighbour,
+    then a node hands its other smaller neighbours to its smallest one. After that, parents are followed by pointer jumping.
+    The number of rounds has no bound set here (it grows like the logarithm of a path's length). A node is keyed by its own
+    row, and has as many rows as smaller neighbours, so a popular parent is no hot key of an aggregation; the joins' both
+    sides come from stored tables, which lets AQE split popular parents. Null or self edges are ignored."""
     def state(df):
         row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h"), F.count_distinct("u").alias("u")).first()
         return row["n"], row["h"], row["u"]
 
+    def jumped(df, parents):
+        return df.join(parents.select(F.col("u").alias("pu"), F.col("v").alias("pv")), F.col("v") == F.col("pu"), "left").select("u", F.coalesce("pv", "v").alias("v"))
+
     e = stored(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     n, h, u = state(e)
-    for _ in range(rounds):
-        if n == u:
-            break
-        g = e.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("vs"))
+    while n != u:
+        g = jumped(e, stored(e.groupBy("u").agg(F.min("v").alias("v")))).groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("vs"))
         e = stored(g.select(F.explode(F.concat(F.array(F.struct(F.col("u"), F.col("m").alias("v"))), F.expr("transform(filter(vs, x -> x <> m), x -> struct(x as u, m as v))"))).alias("s")).select("s.u", "s.v").distinct())
-        n, h, u = state(e)
-    for _ in range(rounds):
-        if not n:
-            break
-        p = e.select(F.col("u").alias("pu"), F.col("v").alias("pv"))
-        e = stored(e.join(p, F.col("v") == F.col("pu"), "left").select("u", F.coalesce("pv", "v").alias("v")))
         before, (n, h, u) = h, state(e)
-        if h == before:
-            break
+        if h == before and n != u:
+            raise RuntimeError(f"components: {n} edges of {u} nodes no longer change, but some nodes have several parents")
+    before = None
+    while n and h != before:
+        e = stored(jumped(e, e))
+        before, (n, h, u) = h, state(e)
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -63,6 +63,13 @@ def test_components_of_a_path_a_star_and_noise(spark):
     assert len(got) == 60 + 40 + 40
 
 
+@pytest.mark.parametrize("n", [80, 800])
+def test_components_of_chains_that_meet_at_their_newest_node(spark, n):
+    ids = [*range(1, n, 2), *range(n - 2, -1, -2)]
+    got = sorted(tuple(r) for r in components(spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")).collect())
+    assert got == [(i, 0) for i in range(n)]
+
+
 def test_urls_and_rules(spark):
     urls = ["http://A.b.example.NET/en/x?q=1#f", "https://example.net/en", "http://net?x", "http://x.net/", "ftp://u.example.com/de/", "http://org/fr/", "http://xorg/fr/", "no scheme", None, "http://", "a://b://c/d", "http://h.co.uk/p"]
     pages = spark.createDataFrame([(i, u, "h", 1, "d") for i, u in enumerate(urls)] + [(3, urls[3], "h", 1, "d"), (None, urls[3], "h", 1, "d")], "page_id long, url string, html string, host int, domain string")
