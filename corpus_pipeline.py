@@ -6,17 +6,22 @@ Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor ke
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchloom.llm import minhash_dedup
 from matchloom.llm.common import stored
-from matchloom.llm.minhash_dedup import near_documents
 from matchloom.llm.mixing import mix
 from matchloom.llm.packing import pack
 from matchloom.llm.phrase_dedup import remove_repeats
 from matchloom.llm.queries import ship
 from matchloom.llm.toxicity import fit, score_column
 
+# The stage links from 0.80 on; 0.85 is the contract of op6 alone.
+near_documents = partial(minhash_dedup.near_documents, share=80)
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below a half."""
@@ -26,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of every group of near-duplicates (similarity 0.85 and more)."""
+    """The document of the smallest id of every group of near-duplicates (similarity 0.80 and more)."""
     ship(spark)
     gone = stored(near_documents(docs).where(~F.col("kept")).select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -1,8 +1,8 @@
 """Near-duplicate documents by a multi-index Hamming join of b-bit minhash signatures.
 
-A signature has `SLOTS` slots of 16 bits. Documents of similarity s agree in a slot with probability s at least; at 0.85 and 128
-slots fewer than one pair in a million differs in more than `FAR` slots. The slots are split into `CHUNKS` chunks. If two
-signatures differ in at most FAR slots, pigeonhole leaves a chunk with at most one difference (CHUNKS * 2 > FAR), and leaving
+A signature has `SLOTS` slots of 16 bits. Documents of similarity s agree in a slot with probability s at least; at the share
+asked for fewer than one pair in a million differs in more than `far` slots (41 at 0.85, 49 at 0.80). The slots are split into
+chunks. If two signatures differ in at most far slots, pigeonhole leaves a chunk with at most one difference (chunks * 2 > far), and leaving
 out each of its slots in turn enumerates that error: some shortened chunk is equal. So every pair within the signature
 distance shares a key. Keys that several documents share join them to candidate groups; groups meet in blocks of bounded
 size, where pairs within the distance are verified on full shingle sets and only links that join something new are returned.
@@ -10,6 +10,7 @@ size, where pairs within the distance are verified on full shingle sets and only
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +20,9 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-SHINGLE, SLOTS, FAR, CHUNKS = 5, 128, 41, 21
+SHINGLE, SLOTS, MISSED = 5, 128, 1e-6
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 4_000_000
 SALTS = np.random.default_rng(11).integers(1, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-EDGES = np.linspace(0, SLOTS, CHUNKS + 1).astype(int)
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -42,14 +42,24 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (C.mix(low) & np.uint64(0xFFFF)).astype("<u2")
 
 
-def keys(signatures: np.ndarray) -> np.ndarray:
+def reach(share: int) -> tuple[int, int]:
+    """(far, chunks): the smallest distance that a pair of similarity share / 100 exceeds with probability below MISSED, and the
+    fewest chunks one of which has at most one of so many differences."""
+    p, tail, far = share / 100, 0.0, SLOTS
+    while tail + (t := math.comb(SLOTS, far) * (1 - p) ** far * p ** (SLOTS - far)) < MISSED:
+        tail, far = tail + t, far - 1
+    return far, far // 2 + 1
+
+
+def keys(signatures: np.ndarray, chunks: int) -> np.ndarray:
     """For each signature the hashes of its chunks with each slot left out in turn."""
     out = []
     s = signatures.astype(np.uint64)
-    for c in range(CHUNKS):
-        slots = range(EDGES[c], EDGES[c + 1])
+    edges = np.linspace(0, SLOTS, chunks + 1).astype(int)
+    for c in range(chunks):
+        slots = range(edges[c], edges[c + 1])
         for gone in slots:
-            h = np.full(len(s), (c * 64 + gone - EDGES[c]) * 2654435761 + 1, np.uint64)
+            h = np.full(len(s), (c * 64 + gone - edges[c]) * 2654435761 + 1, np.uint64)
             for k in slots:
                 if k != gone:
                     h = C.mix(h * C.C1 + s[:, k])
@@ -76,13 +86,13 @@ def sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 KEYED = np.dtype([("h", "<u8"), ("id", "<i8")])
 
 
-def candidate_links(reps: DataFrame, n_buckets: int) -> DataFrame:
+def candidate_links(reps: DataFrame, n_buckets: int, chunks: int) -> DataFrame:
     """(a, b) rows that join all documents of a key to the first of them."""
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 5000):
                 p = pdf.iloc[at : at + 5000]
-                k = keys(np.frombuffer(b"".join(p["sig"]), "<u2").reshape(-1, SLOTS))
+                k = keys(np.frombuffer(b"".join(p["sig"]), "<u2").reshape(-1, SLOTS), chunks)
                 rows = np.zeros(k.size, KEYED)
                 rows["h"], rows["id"] = k.ravel(), np.repeat(p["id"].to_numpy(np.int64), k.shape[1])
                 yield C.packed(0, rows, rows["h"], n_buckets)
@@ -100,6 +110,8 @@ def candidate_links(reps: DataFrame, n_buckets: int) -> DataFrame:
 
 def verify(share: int):
     """The documents of a block, one or two chunks of a group: links that join something new."""
+    far, _ = reach(share)
+
     def linked(x: set, y: set) -> bool:
         both = len(x & y)
         return 100 * both >= share * (len(x) + len(y) - both)
@@ -118,7 +130,7 @@ def verify(share: int):
             if across:
                 fit &= chunk[i + 1 :] != chunk[i]
             at = np.flatnonzero(fit) + i + 1
-            at = at[(sig[at] != sig[i]).sum(1) <= FAR]
+            at = at[(sig[at] != sig[i]).sum(1) <= far]
             for j in at.tolist():
                 if groups.top(i) != groups.top(j) and linked(shingles[i], shingles[j]):
                     groups.join(i, j)
@@ -131,15 +143,15 @@ def verify(share: int):
 def near_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each input row.
 
-    Links are 100 * intersection >= share * union of the sets of distinct 5-word shingles, `share` from 80 to 99 (the distance
-    is set for 85 and more; below, FAR must grow). Documents without words, and rows with a null id, link with nothing;
+    Links are 100 * intersection >= share * union of the sets of distinct 5-word shingles, `share` from 80 to 99 (distance
+    and chunks follow from it). Documents without words, and rows with a null id, link with nothing;
     fewer than five words are one shingle; equal sets are always linked; rows of one id are one document, with all
     their links; extra columns are not read; an empty table gives no rows."""
     rows = C.stored(sets(df, id_col, text_col))
     usable = rows.where("n > 0 and id is not null")
     reps = C.stored(usable.groupBy("n", "a", "b").agg(F.min("id").alias("id"), F.first("sig").alias("sig")))
     n_buckets = max(16, -(-reps.count() // 4096))
-    groups = C.stored(C.components(candidate_links(reps, n_buckets)))
+    groups = C.stored(C.components(candidate_links(reps, n_buckets, reach(share)[1])))
     # members of candidate groups, dealt to chunks of bounded rows and shingles; then every pair of chunks of a group meets
     members = C.stored(groups.join(reps.select(F.col("id").alias("node"), "n", "sig"), "node"))
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")).select("component", F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("chunks"))

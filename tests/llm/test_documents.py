@@ -133,6 +133,30 @@ def test_near_documents(spark, empty):
     assert minhash_dedup.near_documents(empty).count() == 0
 
 
+def test_distance_and_chunks_follow_from_the_share():
+    assert minhash_dedup.reach(85) == (41, 21) and minhash_dedup.reach(80) == (49, 25)
+    for share in range(80, 100):
+        far, chunks = minhash_dedup.reach(share)
+        p = share / 100
+        assert sum(math.comb(128, k) * (1 - p) ** k * p ** (128 - k) for k in range(far + 1, 129)) < 1e-6 and chunks * 2 > far
+
+
+def test_pipeline_stage_links_from_four_fifths(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(6)
+    rows = []
+    for k in range(30):  # pairs of similarity from 0.76 to 0.88, changed from the end on
+        ws = [f"w{rnd.randint(0, 9999)}" for _ in range(204)]
+        other = ws[: 180 + k // 2] + [f"v{j}" for j in range(24 - k // 2)]
+        rows += [(2 * k, " ".join(ws)), (2 * k + 1, " ".join(other))]
+    want, strict = near(rows, 80), near(rows)
+    kept = {i for i, (_, c) in want.items() if i == c}
+    assert len(kept) < len({c for _, c in strict.values()}) and len(kept) > 30
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r["doc_id"] for r in got.collect()} == kept
+
+
 def test_lattice_scores(docs, empty):
     rows = [(r[0], [*(r[1] or "").encode().translate(LOWER).split(), b""]) for r in corpus()]
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
