@@ -33,7 +33,9 @@ INSULTS = ("idiot", "moron", "imbecile", "stupid", "loser", "scum", "trash", "wo
 INSULT_WEIGHT = 3.0
 EXCEPTIONS = ("trash can", "trash bin", "class clown", "clown fish", "pond scum", "lose weight", "moronic acid")
 WORD = re.compile(r"[^\W\d_]+")
-SYMBOL = re.compile(r"[@$|](?![^\W\d_])")
+# A symbol, all symbols, digits and invisible characters after it, and the letter they lead to, if any.
+SYMBOL = re.compile(rf"[@$|][@$|\d{INVISIBLE}]*+([^\W\d_])?")
+BLANK = dict.fromkeys(map(ord, "@$|"), " ")
 
 
 def fold_table() -> dict[int, str | None]:
@@ -50,7 +52,7 @@ def fold(text) -> str:
         return ""
     s = text.lower()
     if "$" in s or "@" in s or "|" in s:
-        s = SYMBOL.sub(" ", s)  # at a word's end it is no letter
+        s = SYMBOL.sub(lambda m: m[0] if m[1] else m[0].translate(BLANK), s)  # at a word's end it is no letter
     return s.translate(FOLD)
 
 

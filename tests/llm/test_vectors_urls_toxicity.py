@@ -128,6 +128,15 @@ def test_exception_phrases_do_not_count():
     assert hits("a trash can") == 0 and hits("you TR4SH!") == 2.0 and hits("untrash") == 0 and hits("trash, trash bin") == 2.0
 
 
+def test_symbols_before_digits_and_symbols_are_letters():
+    machine = toxicity.Model({toxicity.fold(w): 1.0 for w in toxicity.INSULTS}).matcher()
+    hits = lambda t: toxicity.weighted_hits(machine, toxicity.fold(t))
+    for t in ("a$$hole", "ba$7ard", "id|0t", "$7up1d", "a$\u200b$hole", "b@$tard", "idiot$", "idiot$ 5", "idiot|"):
+        assert hits(t) == 1.0, t
+    assert toxicity.fold("$100, a$$ b@") == toxicity.fold(" 100, a   b ")
+    assert len(toxicity.fold("|" * 300_000 + "a")) == 300_001
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
