@@ -165,7 +165,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     read; an empty table gives no rows. The codebooks see at most SAMPLE vectors, those with the smallest hash."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     norm = F.aggregate(F.col("v"), F.lit(0.0), lambda s, x: s + x * x)
-    good = C.stored(vectors.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where((norm > 0) & (norm < float("inf"))).withColumn("h", F.xxhash64("v")).withColumn("g", F.xxhash64("v", F.lit(1))))
+    largest = F.aggregate(F.col("v"), F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))
+    # where the squares would overflow or lose digits, the largest component becomes 1
+    scaled = F.when(norm.between(1e-200, 1e300), F.col("v")).otherwise(F.transform(F.array(largest), lambda t: F.transform(F.col("v"), lambda x: x / t))[0])
+    nonzero = F.coalesce(F.exists(F.col(vector_col), lambda x: x.cast("double") != 0), F.lit(False))
+    good = C.stored(vectors.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull() & nonzero).select(F.col(id_col).cast("long").alias("id"), v.alias("v")).withColumn("v", scaled).withColumn("h", F.xxhash64("v")).withColumn("g", F.xxhash64("v", F.lit(1))))
     reps = C.stored(good.groupBy("h", "g").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("m"), F.min("v").alias("v")))
     n, width = reps.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     blank = vectors.select(F.col(id_col).alias("vec_id"))
@@ -194,5 +198,5 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     comps = C.stored(C.components(found.where("b is not null").select("a", "b")))
     by_rep = C.stored(reps.select("h", "g", "id", "m").join(counts, F.col("id") == F.col("a"), "left").join(comps, F.col("id") == F.col("node"), "left").select("h", "g", (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
     linked = good.select("id", "h", "g").join(by_rep, ["h", "g"]).select(F.col("id").alias("vec_id"), "n_links", "component_id")
-    rest = vectors.where(~usable(F.col(vector_col)) | F.col(id_col).isNull() | ~F.coalesce(F.exists(F.col(vector_col), lambda x: x.cast("double") != 0), F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col(id_col).cast("long").alias("component_id"))
+    rest = vectors.where(~usable(F.col(vector_col)) | F.col(id_col).isNull() | ~nonzero).select(F.col(id_col).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col(id_col).cast("long").alias("component_id"))
     return linked.union(rest).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))

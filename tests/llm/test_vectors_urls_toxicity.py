@@ -39,6 +39,13 @@ def test_near_vectors(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_vectors_whose_squares_leave_the_range_keep_their_rows(spark):
+    base = [float(k + 1) for k in range(8)]
+    rows = [(k, [c * scale for c in base]) for k, scale in enumerate((1.0, 1e200, 1e-200, -1e200, 1e307 / 8, 1e-160))] + [(6, [0.0] * 8), (7, [5e-324] + [0.0] * 7)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**dict.fromkeys((0, 1, 2, 4, 5), (4, 0)), 3: (0, 3), 6: (0, 6), 7: (0, 7)}
+
+
 def test_top_k(spark):
     df = spark.createDataFrame(vectors(), VECTORS)
     q = {r[0]: [int(np.floor(256 * float(np.float32(c)))) for c in r[1]] for r in vectors() if r[0] is not None and r[0] < 500}
