@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .filter_audit import SQL as AUDIT_SQL
 from .metric_search import SQL as SEARCH_SQL
 from .mixing import SQL as MIX_SQL
 from .url_reputation import SQL as URL_SQL
@@ -122,3 +123,10 @@ def op4(spark, sf):
     from .lattice_lm import lattice_scores
 
     return lattice_scores(table(spark, sf, "documents"), folds=7, held_fold=2)
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def op11(spark, sf):
+    from .filter_audit import audit
+
+    return audit(spark, f"{sf}/documents.parquet", table(spark, sf, "labels"))
