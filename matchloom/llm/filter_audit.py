@@ -3,22 +3,20 @@
 All files of a folder are processed as available-now micro-batches. Four filters judge a text alone; the fifth, "identical to
 the text of a smaller id", can change for a document already counted. So the state of a text (its hash is the key) holds the
 smallest id seen and the counter cells of the rows with that id; when a smaller id arrives, those rows are taken out of their
-cells and put into the cells of the mask with the fifth bit. Every micro-batch adds its changes to counters of (part, mask,
-good, toxic); everything about the orders of the filters follows from these few cells.
+cells and put into the cells of the mask with the fifth bit. The state is a table with a part for each micro-batch: a text's
+last state is the one with the smallest id, as that only falls. Each part also holds the changes of the counters of (part,
+mask, good, toxic); everything about the orders of the filters follows from these few cells.
 """
 
 from __future__ import annotations
 
 import hashlib
 import itertools
-import json
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 
 from ..session import scratch_dir
 from . import common as C
@@ -29,9 +27,8 @@ SIGNS = b"#$%&*|"
 UPPER = bytes(range(65, 91))
 JUDGED = "doc_id long, part string, key binary, mask int"
 COMBINED = "key binary, part string, mask int, good int, toxic int, known boolean, least long, n_least long, n long"
-CHANGE = "part string, mask int, good int, toxic int, n long"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CELL = "array<struct<part:string,mask:int,good:int,toxic:int,n:long>>"
+STATE = f"key binary, least long, held {CELL}, changes {CELL}"
 
 
 def text_mask(text: str) -> int:
@@ -66,32 +63,26 @@ def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
 
-def settled(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Changes of the counters from the new rows of one text."""
-    out: list[tuple] = []
-    rows = [r for pdf in frames for r in pdf.itertuples(index=False)]
-    old, held = state.get if state.exists else (None, "[]")
-    held = json.loads(held)
-    ids = [r.least for r in rows if r.known]
-    least = min([*ids, *([] if old is None else [old])], default=None)
-    if ids and old is not None and least < old:
-        for part, mask, good, toxic, n in held:
-            out += [(part, mask, good, toxic, -n), (part, mask | COPY, good, toxic, n)]
-        held = []
-    for r in rows:
-        first = r.n if not r.known else r.n_least if r.least == least else 0
-        if first:
-            out.append((r.part, r.mask, r.good, r.toxic, first))
-            if r.known:
-                held.append((r.part, int(r.mask), int(r.good), int(r.toxic), int(first)))
-        if r.n > first:
-            out.append((r.part, r.mask | COPY, r.good, r.toxic, r.n - first))
-    if ids:
-        cells: dict[tuple, int] = {}
-        for *cell, n in held:
-            cells[tuple(cell)] = cells.get(tuple(cell), 0) + n
-        state.update((int(least), json.dumps([[*cell, n] for cell, n in cells.items()])))
-    yield pd.DataFrame(out, columns=["part", "mask", "good", "toxic", "n"])
+def fresh_texts(rows: DataFrame) -> DataFrame:
+    """(key, least, cells) of the new rows: a cell's smallest id, its rows with that id, and all its rows. Sums are formed before
+    each shuffle, so a text that a third of all rows repeat is a few rows for each task; the list is bounded by the parts."""
+    cell = ["key", "part", "mask", "good", "toxic", "known"]
+    same = rows.groupBy(*cell, "least").agg(F.sum("n_least").alias("n_least"), F.sum("n").alias("n"))
+    cells = same.groupBy(*cell).agg(F.min_by("n_least", "least").alias("n_least"), F.min("least").alias("least"), F.sum("n").alias("n"))
+    return cells.groupBy("key").agg(F.min(F.expr("if(known, least, null)")).alias("least"), F.collect_list(F.struct("part", "mask", "good", "toxic", "known", "least", "n_least", "n")).alias("cells"))
+
+
+def settled(fresh: DataFrame, state: DataFrame) -> DataFrame:
+    """The next part of the state from the new rows of each text and what the state holds for it."""
+    old = state.where("least is not null").groupBy("key").agg(F.min_by("held", "least").alias("old_held"), F.min("least").alias("old_least"))
+    both = fresh.join(old, "key", "left").withColumn("now", F.least("least", "old_least"))
+    both = both.withColumn("cells", F.expr("transform(cells, c -> named_struct('part', c.part, 'mask', c.mask, 'good', c.good, 'toxic', c.toxic, 'known', c.known, 'n', c.n, 'first', if(not c.known, c.n, if(c.least = now, c.n_least, 0L))))"))
+    one = "named_struct('part', {c}.part, 'mask', {c}.mask{bit}, 'good', {c}.good, 'toxic', {c}.toxic, 'n', {n})"
+    added = f"flatten(transform(cells, c -> array({one.format(c='c', bit='', n='c.first')}, {one.format(c='c', bit=f' | {COPY}', n='c.n - c.first')})))"
+    back = f"if(least < old_least, flatten(transform(old_held, h -> array({one.format(c='h', bit='', n='-h.n')}, {one.format(c='h', bit=f' | {COPY}', n='h.n')}))), array())"
+    firsts = f"transform(filter(cells, c -> c.known and c.first > 0), c -> {one.format(c='c', bit='', n='c.first')})"
+    held = f"case when least < old_least or old_least is null then {firsts} when least = old_least then concat(old_held, {firsts}) end"
+    return both.select("key", F.expr("if(least <= old_least or old_least is null, least, null)").alias("least"), F.expr(held).alias("held"), F.expr(f"filter(concat({added}, {back}), x -> x.n <> 0)").alias("changes"))
 
 
 def folder(spark: SparkSession, path: str) -> tuple[str, int]:
@@ -101,13 +92,14 @@ def folder(spark: SparkSession, path: str) -> tuple[str, int]:
     return f"{path[:-1]}[{path[-1]}]" if fs.getFileStatus(at).isFile() else path, fs.getContentSummary(at).getLength()
 
 
-def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", batch_bytes: int | None = None) -> DataFrame:
+def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", batch_bytes: int | None = None, home: str | None = None) -> DataFrame:
     """(part, mask, good, toxic, n): how many rows of all files under `path` fail just the filters of the mask.
 
     Runs the stream to its end. A micro-batch takes `batch_bytes` of files (by default a sixteenth of all, 128 MB at least) and
-    writes its changes to a folder of its own, which it replaces if it runs again. The state of the texts is kept by RocksDB
-    unless the session names another provider, so it need not fit memory."""
-    out = scratch_dir(spark)
+    writes one part of the state, which it replaces if it runs again. With a folder `home` a later call reads only files that
+    are new since; without, everything is read."""
+    home = home or scratch_dir(spark)
+    parts = f"{home}/state"
     good = F.coalesce(F.max((F.col("quality") == 1).cast("int")), F.lit(0)).alias("good")
     toxic = F.coalesce(F.max((F.col("toxic") == 1).cast("int")), F.lit(0)).alias("toxic")
     marks = C.stored(labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("marked")).agg(good, toxic))
@@ -115,23 +107,18 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "d
     size = batch_bytes or max(128 << 20, size // 16)
     docs = spark.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", size).parquet(source)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("part"), F.col(text_col).cast("string").alias("text"))
-    rows = docs.mapInArrow(judged, JUDGED).join(marks, F.col("doc_id") == F.col("marked"), "left").drop("marked").na.fill(0, ["good", "toxic"])
-    changes = rows.mapInArrow(combined, COMBINED).groupBy("key").applyInPandasWithState(settled, CHANGE, "least long, held string", "update", "NoTimeout")
+
+    def state(below: str) -> DataFrame:
+        return spark.read.schema(f"{STATE}, batch long").parquet(parts).where(below)
 
     def add(batch: DataFrame, number: int) -> None:
-        batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    spark.createDataFrame([], CHANGE).write.parquet(f"{out}/batch=-1")
-    before = spark.conf.get(PROVIDER, None)
-    if before is None or before.endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(PROVIDER, ROCKS)
-    try:
-        stream = changes.writeStream.outputMode("update").foreachBatch(add).option("checkpointLocation", scratch_dir(spark)).trigger(availableNow=True).start()
-        stream.awaitTermination()
-    finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
-    all_changes = spark.read.schema(CHANGE).parquet(out)
-    return all_changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
+        marked = batch.join(marks, F.col("doc_id") == F.col("marked"), "left").drop("marked").na.fill(0, ["good", "toxic"])
+        settled(fresh_texts(marked.mapInArrow(combined, COMBINED)), state(f"batch < {number}")).write.mode("overwrite").parquet(f"{parts}/batch={number}")
+
+    spark.createDataFrame([], STATE).write.mode("overwrite").parquet(f"{parts}/batch=-1")
+    docs.mapInArrow(judged, JUDGED).writeStream.foreachBatch(add).option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    changes = state("true").select(F.explode("changes").alias("c")).select("c.*")
+    return changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def interactions(cells: DataFrame, letters: str = LETTERS) -> DataFrame:
