@@ -130,3 +130,10 @@ def op11(spark, sf):
     from .filter_audit import audit
 
     return audit(spark, f"{sf}/documents.parquet", table(spark, sf, "labels"))
+
+
+@query("op13_document_digest")
+def op13(spark, sf):
+    from .document_digest import digests
+
+    return digests(table(spark, sf, "documents"))
