@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
+from . import ranges
 from .filters import REASON
 
 # An ordering is a list of (column, "asc" | "desc"). The last entries must make it total.
@@ -80,42 +81,11 @@ def _reversed(c: str, kind: str) -> Column:
     return -F.col(c)
 
 
-def _range_number(splits: int) -> Column:
-    """How many of the sorted bounds lie at or before the row, by halving steps; absent bounds lie after every row."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, splits - 1).bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(F.col("_bounds"), at + step - 1) <= F.col("_k"), at + step).otherwise(at))
-
-
 def rank_table(df: DataFrame, part: Sequence[str], order: Order, name: str = "posicion",
                splits: int | None = None) -> DataFrame:
-    """Exact row number inside each group, with the largest group spread over many tasks.
-
-    Rows are cut into ranges of the (group, order) key at bounds taken from a fixed-size hash sample of
-    the data. The number of a row is its number inside its range plus the rows of earlier ranges of
-    its group. The bounds only decide how the work is cut; the result does not depend on them. There are as many
-    ranges as the session has shuffle partitions, 16 at least.
-    """
-    if splits is None:
-        splits = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keyed = df.withColumn("_k", F.struct(*[F.col(p) for p in part], _sort_struct(df, order).alias("_o")))
-    sample = (keyed.select("_k").orderBy(F.xxhash64("_k"), "_k").limit(splits * 24)
-              .agg(F.sort_array(F.collect_list("_k")).alias("s")))
-    picked = F.filter("s", lambda _, i: (i + 1) % 24 == 0)
-    bounds = sample.select(picked.alias("b")).scalar()
-    cut = (keyed.withColumn("_bounds", bounds)
-           .withColumn("_cut", _range_number(splits)).drop("_bounds"))
-
-    # Ranges are counted once here; the offsets are one small row per group and range.
-    before = Window.partitionBy(*part).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (cut.groupBy(*part, "_cut").agg(F.count(F.lit(1)).alias("_n"))
-               .select(*[F.col(p).alias(f"_p_{p}") for p in part], F.col("_cut").alias("_c"),
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    local = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*part, "_cut").orderBy("_k")))
-    same = F.col("_cut") == F.col("_c")
-    for p in part:
-        same = same & F.col(p).eqNullSafe(F.col(f"_p_{p}"))
-    joined = local.join(offsets, same, "inner")
-    return joined.select(*df.columns, (F.col("_rn") + F.col("_before")).cast("int").alias(name))
+    """Exact row number inside each group, with the largest group spread over many tasks (see `ranges.running`)."""
+    ranked = ranges.running(df.drop(name), part, _sort_struct(df, order), {name: F.lit(1).cast("long")}, splits=splits)
+    return ranked.withColumn(name, F.col(name).cast("int"))
 
 
 def split_duplicates(df: DataFrame, keys: Sequence[str], order: Order,
@@ -158,13 +128,9 @@ def most_complete(df: DataFrame, keys: Iterable[str], cols: Iterable[str], arriv
     return top_row_per_key(scored, keys, [("_filled", "desc"), (arrival, "asc")]).drop("_filled")
 
 
-def streaks(df: DataFrame, key: Sequence[str], order: Order, cond: Column) -> DataFrame:
-    """Runs of consecutive rows that satisfy `cond`: first and last row number and length per run."""
-    numbered = rank_table(df, key, order, "_all")
-    hits = rank_table(numbered.filter(cond), key, [("_all", "asc")], "_hit")
-    run = hits.groupBy(*key, (F.col("_all") - F.col("_hit")).alias("_run"))
-    return run.agg(F.min("_all").alias("desde"), F.max("_all").alias("hasta"),
-                   F.count(F.lit(1)).alias("racha")).drop("_run")
+def streaks(df: DataFrame, key: Sequence[str], order: Order, cond: Column, splits: int | None = None) -> DataFrame:
+    """Runs of consecutive rows that satisfy `cond`: first and last row number and length per run, in one pass."""
+    return ranges.runs(df, list(key), _sort_struct(df, order), cond, splits)
 
 
 def top_n(df: DataFrame, order: Order, n: int | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,3 +37,10 @@ def scratch_dir(spark: SparkSession) -> str:
     if base:
         return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
     return os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "data")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Written once to the shared folder and read again: cuts the lineage, survives lost executors."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

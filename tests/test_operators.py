@@ -1,11 +1,13 @@
 """Relational properties: nothing lost in splits, exact ranks under skew, resolution against brute force."""
 
+import itertools
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from matchloom.operators import joins, quality, ranking, resolve
+from matchloom.operators import joins, quality, ranges, ranking, resolve
 from matchloom.plans import questions, routing, views
 
 
@@ -32,7 +34,7 @@ def test_rank_table_spreads_a_hot_group(spark):
     keyed = df.withColumn("_k", F.struct("g", "id"))
     bounds = [(("hot", i * 100),) for i in range(1, 50)]
     listed = spark.createDataFrame([(bounds_row,) for bounds_row in [[b[0] for b in bounds]]], "b array<struct<g string, id bigint>>")
-    cut = keyed.crossJoin(listed.withColumnRenamed("b", "_bounds")).select("g", "id", ranking._range_number(50).alias("c"))
+    cut = ranges.with_range(keyed, listed.scalar(), 50).select("g", "id", F.col("_cut").alias("c"))
     assert all(r.c == min(49, r.id // 100) for r in cut.filter("g = 'hot'").collect())
     got = ranking.rank_table(df, ["g"], [("id", "desc")], splits=40)
     want = df.withColumn("posicion", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("id"))))
@@ -52,6 +54,40 @@ def test_streaks(spark):
     assert sorted((r.desde, r.hasta, r.racha) for r in got) == [(1, 2, 2), (4, 7, 4)]
 
 
+@pytest.mark.parametrize("splits", [2, 16, 50])
+def test_streaks_over_many_ranges(spark, splits):
+    """Streaks that span several ranges, a group with most rows, one without hits, NULL groups and conditions."""
+    rnd = random.Random(7)
+    groups = {"hot": 3000, "always": 900, "never": 200, None: 400, **{f"g{i}": 3 for i in range(200)}}
+    rows, want = [], []
+    for g, n in groups.items():
+        results = [g == "always" or (g != "never" and (i // 170 % 2 == 0 or rnd.random() < 0.5) or None) for i in range(n)]
+        at = 0
+        for hit, run in itertools.groupby(results):
+            size = len(list(run))
+            want += [(g, at + 1, at + size, size)] if hit else []
+            at += size
+        rows += [(g, i, r) for i, r in enumerate(results)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, d int, r boolean").repartition(7)
+    got = ranking.streaks(df, ["g"], [("d", "asc")], F.col("r"), splits)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    sums = ranges.running(df.drop("r"), ["g"], F.col("d"), {"total": F.col("d").cast("long"), "x": F.xxhash64("d")}, {"x": "bit_xor"}, splits)
+    w = Window.partitionBy("g").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.select("g", "d", F.sum(F.col("d").cast("long")).over(w).alias("total"), F.bit_xor(F.xxhash64("d")).over(w).alias("x"))
+    assert sums.select(*plain.columns).exceptAll(plain).count() == 0 and sums.count() == len(rows)
+    alone = ranges.running(df.drop("r"), [], F.struct("g", "d"), {"n": F.lit(1).cast("long")}, splits=splits)
+    assert sorted(r.n for r in alone.collect()) == list(range(1, len(rows) + 1))
+
+
+def test_ranges_move_rows_once(spark):
+    df = spark.range(20000).select((F.col("id") % 3).alias("g"), "id")
+    rows, n = ranges.placed(df.withColumn("_k", F.struct("g", "id")), 16)
+    w = Window.partitionBy("_cut", "g").orderBy("_k")
+    plan = rows.withColumn("a", F.row_number().over(w)).groupBy("_cut", "g").count()._jdf.queryExecution().executedPlan().toString()
+    assert n == 16 and plan.count("Exchange shufflepartitionidpassthrough") == 1 and "Exchange hashpartitioning" not in plan
+
+
 def test_minmax_bounds_and_flat_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), ("b", 5.0), ("c", None)], "g string, v double")
     got = sorted(((r.g, r.score_100) for r in ranking.minmax_by(df, "g", "v").collect()), key=repr)
