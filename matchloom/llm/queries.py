@@ -137,3 +137,10 @@ def op13(spark, sf):
     from .document_digest import digests
 
     return digests(table(spark, sf, "documents"))
+
+
+@query("op12_prefix_trie")
+def op12(spark, sf):
+    from .prefix_trie import trie
+
+    return trie(table(spark, sf, "conversations"), every=100, most=6)
