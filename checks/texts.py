@@ -145,16 +145,43 @@ def _(s, sf):
     return out.drop("tabla")
 
 
-@query("Y06_table_rows_of_pages", "SELECT page_id, 0 AS filas FROM pages")
+_PLAIN = "replace(replace(replace(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '&quot;', '\"'), '&lt;', '<'), '&amp;', '&')"
+
+
+@query("Y06_list_items_of_pages", f"""SELECT page_id, CAST(i - 1 AS INT) AS item, {_PLAIN.format(x="x[i]")} AS texto FROM
+    (SELECT page_id, regexp_extract_all(html, '<li><a [^>]*>([^<]*)</a></li>', 1) AS x FROM pages), (SELECT unnest(range(1, 1000)) AS i) WHERE i <= len(x)""")
+def _(s, sf):
+    return parsing.html_list_items(table(s, sf, "pages").select("page_id", "html"), "html").filter("lista = 0").drop("lista")
+
+
+@query("Y06_table_rows_of_pages", f"""SELECT page_id, CAST(i - 1 AS INT) AS fila, {_PLAIN.format(x="x[i]")} AS texto, CAST(length(x[i]) % 7 AS VARCHAR) AS dentro FROM
+    (SELECT page_id, regexp_extract_all(html, '<li><a [^>]*>([^<]*)</a></li>', 1) AS x FROM pages), (SELECT unnest(range(1, 1000)) AS i) WHERE i <= len(x)""")
+def _(s, sf):
+    """The lists of the pages written as tables without end tags of rows and cells, with a table in each cell."""
+    html = F.regexp_replace(F.col("html"), "<li><a [^>]*>([^<]*)</a></li>", "<tr><td>$1<table><tr><td>$1</table>")
+    html = F.regexp_replace(F.regexp_replace(html, "<ul>", "<table>"), "</ul>", "</table>")
+    rows = parsing.html_rows(table(s, sf, "pages").select("page_id", "html", html.alias("h")), "h")
+    names = F.regexp_extract_all(F.col("html"), F.lit("<li><a [^>]*>([^<]*)</a></li>"), F.lit(1))
+    outer = rows.filter("tabla = 0").select("page_id", "fila", F.get("celdas", F.lit(0)).alias("texto"), F.get(names, F.col("fila")).alias("raw"))
+    inner = rows.filter("tabla > 0").select(F.col("page_id").alias("p"), (F.col("tabla") - 1).alias("f"), F.get("celdas", F.lit(0)).alias("t"))
+    both = outer.join(inner, F.expr("page_id = p and fila = f and texto = t"))
+    return both.select("page_id", "fila", "texto", (F.length("raw") % 7).cast("string").alias("dentro"))
+
+
+@query("Y06_nested_tables", """SELECT o_orderkey, CAST(t AS INT) AS tabla, CAST(f AS INT) AS fila, CASE WHEN t = 0 AND f = 0 THEN 'a' || o_custkey || '|é & <' || o_orderstatus || '>' WHEN t = 0 THEN 'z' WHEN t = 1 AND f = 0 THEN 'in ' || o_orderkey || '|2'
+    WHEN t = 1 THEN 'Ω' ELSE 'deep' END AS celdas FROM orders, (VALUES (0, 0), (0, 1), (1, 0), (1, 1), (2, 0)) AS v(t, f) WHERE NOT (t = 0 AND f = 1 AND o_orderstatus = 'O') AND NOT (t = 2 AND o_orderstatus <> 'F')""")
 def _(s, sf):
-    pages = table(s, sf, "pages")
-    rows = parsing.html_rows(pages.select("page_id", "html"), "html").groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
-    return pages.select("page_id").join(rows, "page_id", "left").select("page_id", F.coalesce("n", F.lit(0)).cast("int").alias("filas"))
+    deep = F.when(F.col("o_orderstatus") == "F", "<table><tr><td>deep</table>").otherwise("")
+    inner = F.concat(F.lit("<TABLE class='a>b'><tr><th>in "), F.col("o_orderkey").cast("string"), F.lit("<td>2<tr><td>&Omega;"), deep, F.lit("</TABLE>"))
+    last = F.when(F.col("o_orderstatus") == "O", "").otherwise("<tr><td>z")
+    html = F.concat(F.lit("<!-- <table> --><table><tr><td>a"), F.col("o_custkey").cast("string"), inner, F.lit("<td>&eacute; &amp; &lt;"), F.col("o_orderstatus"), F.lit("&#62;"), last)
+    rows = parsing.html_rows(table(s, sf, "orders").select("o_orderkey", html.alias("html")), "html")
+    return rows.withColumn("celdas", F.array_join("celdas", "|"))
 
 
 @query("Y07_html_stat_pairs", "SELECT o_orderkey, CAST(o_custkey % 50 AS VARCHAR) AS a, '7 (64 %)' AS b, 2 AS pares FROM orders")
 def _(s, sf):
-    item = F.concat(F.lit('<ul><li class="css-Stat x"><div class="StatBox">'), (F.col("o_custkey") % 50).cast("string"), F.lit('</div><span class="a-StatTitle">Tiros totales</span><div class="StatBox b"><b>7</b>\n (64 %)</div></li>'),
+    item = F.concat(F.lit('<ul><li class="css-Stat x"><div class="StatBox"><div>'), (F.col("o_custkey") % 50).cast("string"), F.lit('</div></div><span class="a-StatTitle">Tiros totales</span><div class="StatBox b"><div><b>7</b></div>\n (64&nbsp;%)</div>'),
                     F.lit('<li class="other">z</li><li class="Stat"><span class="StatTitle">Solo</span></li></ul>'))
     out = parsing.html_stat_pairs(table(s, sf, "orders").select("o_orderkey", item.alias("html")), "html")
     m = F.col("estadisticas")

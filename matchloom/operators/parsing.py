@@ -6,28 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
+from . import html
 
 STANDINGS = ["posicion", "equipo", "puntos", "partidos_jugados", "partidos_ganados", "partidos_empatados",
              "partidos_perdidos", "goles_favor", "goles_contra"]
 
 
-def strip_tags(c: Column) -> Column:
-    return F.trim(text.collapse_spaces(F.regexp_replace(c, "<[^>]*>", "")))
+def _others(df: DataFrame, c: str) -> list[Column]:
+    return [F.col(f"`{x}`") for x in df.columns if x != c]
 
 
-def _cells(row: Column) -> Column:
-    raw = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
-    return F.transform(raw, strip_tags)
+def html_rows(df: DataFrame, c: str) -> DataFrame:
+    """One row per table row: number of the table in the page (by start tag), number of the row in the table, cells.
 
+    A table inside another is a table of its own; its text belongs to no cell of the outer one. Missing end tags of tables,
+    rows and cells are implied. NULL and empty pages give no rows."""
+    listed = df.select(*_others(df, c), F.explode(html.tables(F.col(c))).alias("_t"))
+    return listed.select(*_others(df, c), F.col("_t.lugar").alias("tabla"), F.posexplode(html.rows(F.col("_t.html"))).alias("fila", "celdas"))
 
-def html_rows(df: DataFrame, c: str) -> DataFrame:
-    """One row per table row: number of the table in the page, number of the row in the table, cells."""
-    keep = [F.col(f"`{x}`") for x in df.columns if x != c]
-    tables = F.regexp_extract_all(F.col(c), F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), F.lit(1))
-    rows = F.regexp_extract_all(F.col("_table"), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    listed = df.select(*keep, F.posexplode(tables).alias("tabla", "_table"))
-    return (listed.select(*keep, "tabla", F.posexplode(rows).alias("fila", "_row"))
-            .select(*keep, "tabla", "fila", _cells(F.col("_row")).alias("celdas")))
+
+def html_list_items(df: DataFrame, c: str) -> DataFrame:
+    """One row per item of a `ul` or `ol`: number of the list in the page, number of the item in the list, text.
+
+    A list inside an item is a list of its own. Missing end tags of lists and items are implied."""
+    levels = F.filter(html.own_levels(html.shown(F.col(c)), "ul|ol"), lambda t: t["lugar"].isNotNull())
+    listed = df.select(*_others(df, c), F.explode(levels).alias("_t"))
+    listed = listed.select(*_others(df, c), F.col("_t.lugar").alias("lista"), F.posexplode(html.items(F.col("_t.html"))).alias("item", "_i"))
+    return listed.select(*_others(df, c), "lista", "item", html.plain_text(F.col("_i.html")).alias("texto"))
 
 
 def _whole(c: Column) -> Column:
@@ -37,41 +42,46 @@ def _whole(c: Column) -> Column:
 def html_table_rows(df: DataFrame, c: str) -> DataFrame:
     """Standings rows of tables whose header names position, team and points; bad rows are dropped."""
     keep = [x for x in df.columns if x != c]
-    tables = F.regexp_extract_all(F.col(c), F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), F.lit(1))
-    listed = df.select(*keep, F.posexplode(tables).alias("tabla", "_table"))
-    rows = F.regexp_extract_all(F.col("_table"), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    split = listed.select(*keep, "tabla", rows.alias("_rows"))
-    head = F.lower(F.array_join(_cells(F.try_element_at("_rows", F.lit(1))), " "))
-    marked = split.filter(head.contains("pos.") & head.contains("equipo") & head.contains("pts."))
-    body = (marked.select(*keep, "tabla", F.posexplode("_rows").alias("fila", "_row")).filter(F.col("fila") > 0)
-            .withColumn("_c", _cells(F.col("_row"))).filter(F.size("_c") >= 9))
+
+    def headed(t: Column) -> Column:
+        head = F.lower(F.array_join(F.get(t["filas"], F.lit(0)), " "))
+        return head.contains("pos.") & head.contains("equipo") & head.contains("pts.")
+
+    read = F.transform(html.tables(F.col(c)), lambda t: F.struct(t["lugar"].alias("tabla"), html.rows(t["html"]).alias("filas")))
+    marked = df.select(*_others(df, c), F.explode(F.filter(read, headed)).alias("_t"))
+    body = (marked.select(*_others(df, c), "_t.tabla", F.posexplode("_t.filas").alias("fila", "_c"))
+            .filter((F.col("fila") > 0) & (F.size("_c") >= 9)))
     place = F.regexp_replace(F.get("_c", F.lit(0)), "[^0-9]", "").try_cast("int")
     team = F.trim(F.regexp_replace(F.get("_c", F.lit(1)), r"\s*\([^)]*\)\s*", ""))
     numbers = [F.coalesce(_whole(F.get("_c", F.lit(i))), F.lit(0)).alias(STANDINGS[i]) for i in range(2, 9)]
-    out = body.select(*keep, "tabla", "fila", place.alias("posicion"), team.alias("equipo"), *numbers)
+    out = body.select(*[F.col(f"`{x}`") for x in keep], "tabla", "fila", place.alias("posicion"), team.alias("equipo"), *numbers)
     return out.filter(F.col("posicion") > 0).withColumn(
         "diferencia_goles", F.col("goles_favor") - F.col("goles_contra"))
 
 
 def html_stat_pairs(df: DataFrame, c: str) -> DataFrame:
-    """Map column `estadisticas`: '<title>_local' and '<title>_visitante' for each statistic with two boxes."""
-    items = F.regexp_extract_all(F.col(c), F.lit(r'(?is)<li\b[^>]*class="[^"]*Stat[^"]*"[^>]*>(.*?)</li>'), F.lit(1))
-    inner = r'(?is)<span\b[^>]*class="[^"]*StatTitle[^"]*"[^>]*>(.*?)</span>'
-    box = r'(?is)<div\b[^>]*class="[^"]*StatBox[^"]*"[^>]*>(.*?)</div>'
+    """Map column `estadisticas`: '<title>_local' and '<title>_visitante' for each statistic with two boxes.
+
+    A statistic is a list item whose class holds "Stat", with a title span and at least two box divs, whatever stands inside
+    them; of a title that comes again, the last one counts."""
+    found = F.flatten(F.transform(html.own_levels(html.shown(F.col(c)), "ul|ol"), lambda t: html.items(t["html"])))
 
     def entry(item: Column) -> Column:
-        boxes = F.regexp_extract_all(item, F.lit(box), F.lit(1))
-        return F.struct(strip_tags(F.regexp_extract(item, inner, 1)).alias("t"), F.transform(boxes, strip_tags).alias("b"))
-
-    usable = F.filter(F.transform(items, entry), lambda e: (e["t"] != "") & (F.size(e["b"]) >= 2))
-    pairs = F.flatten(F.transform(usable, lambda e: F.array(
-        F.struct(F.concat(e["t"], F.lit("_local")), F.get(e["b"], F.lit(0))),
-        F.struct(F.concat(e["t"], F.lit("_visitante")), F.get(e["b"], F.lit(1))))))
-    keep = [F.col(f"`{x}`") for x in df.columns if x != c]
-    names = F.array_distinct(F.transform(pairs, lambda p: p["col1"]))
-    last = F.transform(names, lambda k: F.struct(k.alias("key"), F.element_at(
-        F.filter(pairs, lambda p: p["col1"] == k), -1)["col2"].alias("value")))
-    return df.select(*keep, F.map_from_entries(last).alias("estadisticas"))
+        titles = html.elements(item["html"], "span", "StatTitle")
+        boxes = html.elements(item["html"], "div", "StatBox")
+        return F.struct(html.plain_text(F.get(titles, F.lit(0))).alias("t"), F.transform(boxes, html.plain_text).alias("b"))
+
+    def pairs(e: Column) -> Column:
+        two = F.array(F.struct(F.concat(e["t"], F.lit("_local")).alias("key"), F.get(e["b"], F.lit(0)).alias("value")),
+                      F.struct(F.concat(e["t"], F.lit("_visitante")).alias("key"), F.get(e["b"], F.lit(1)).alias("value")))
+        return F.when((e["t"] != "") & (F.size(e["b"]) >= 2), two).otherwise(F.slice(two, 1, 0))
+
+    def last_of_each(all_pairs: Column) -> Column:
+        names = F.array_distinct(F.transform(all_pairs, lambda p: p["key"]))
+        return F.map_from_entries(F.transform(names, lambda k: F.element_at(F.filter(all_pairs, lambda p: p["key"] == k), -1)))
+
+    read = F.transform(F.filter(found, lambda i: html.has_class(i["marca"], "Stat")), lambda i: html.bound(entry(i), pairs))
+    return df.select(*_others(df, c), html.bound(F.flatten(read), last_of_each).alias("estadisticas"))
 
 
 KEEPER_CELLS = 15
