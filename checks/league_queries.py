@@ -312,8 +312,12 @@ league_query("Q32_kpi", KPI)(lambda L: Q.kpi_snapshot(L.tb_matches, L.tb_dim, L.
 league_query("A18_kpi_tipo_cambio", KPI.replace("4.0", "3.75"))(lambda L: Q.kpi_snapshot(L.tb_matches, L.tb_dim, L.tb_value_history, L.tb_champions, 3.75))
 league_query("Q33_nombres_conocidos", "SELECT lower(nombre_equipo) AS nombre FROM dim UNION SELECT lower(alias_equipo) FROM dim WHERE length(alias_equipo) >= 4")(
     lambda L: Q.known_team_names(L.tb_dim))
-league_query("A20_resumen_score", """SELECT nivel AS grupo, count(*) AS jugadores, round(avg(score_100), 2) AS score_medio, 'nivel' AS tipo FROM score GROUP BY 1
-    UNION ALL SELECT CAST(temporada AS VARCHAR), count(*), round(avg(score_100), 2), 'temporada' FROM score GROUP BY 1""")(lambda L: scoring.score_summary(L.tb_simple_score))
+_ONE = "concat_ws('|', jugador, nombre_equipo, CAST(temporada AS VARCHAR), posicion_xi)"
+league_query("A20_resumen_score", f"""SELECT nivel AS grupo, count(*) AS jugadores, round(avg(score_100), 2) AS score_medio, 'nivel' AS tipo FROM score GROUP BY 1
+    UNION ALL SELECT CAST(temporada AS VARCHAR), count(*), round(avg(score_100), 2), 'temporada' FROM score GROUP BY 1
+    UNION ALL SELECT {_ONE}, count(*), round(avg(score_100), 2), 'gema' FROM score WHERE nivel IN ('Bueno', 'Elite') AND minutos_jugados <= 2600 GROUP BY 1
+    UNION ALL SELECT {_ONE}, count(*), round(avg(score_100), 2), 'titular_bajo' FROM score WHERE minutos_jugados >= 1000 AND score_100 <= 40 GROUP BY 1""")(
+    lambda L: scoring.score_summary(L.tb_simple_score, few_minutes=2600, many_minutes=1000, low_score=40.0))
 league_query("L1_rasgos_de_jugador", "SELECT id_jugador, id_equipo, temporada, posicion_xi, " + ", ".join(f"round({c}, 9) AS {c}" for c in scoring.RATES) + " FROM feats")(
     lambda L: scoring.player_features(L.tb_player_season_stats, L.tb_squad_history).select("id_jugador", "id_equipo", "temporada", "posicion_xi", *[F.round(c, 9).alias(c) for c in scoring.RATES]))
 league_query("L5_claves_de_score", "SELECT id_score_ml, round(score_100, 6) AS score_100, nivel_num, nivel FROM score")(

@@ -245,6 +245,49 @@ def _(s, sf):
     return scoring.cluster_levels(scored, "grupo", _FEATS).select("vec_id", "grupo", "nivel_num", "nivel")
 
 
+def _lloyd(n: int = 8, k: int = 4, rounds: int = 100) -> str:
+    """The rounds of `cluster_levels` as a recursive statement over whole millionths."""
+    each = range(1, n + 1)
+    q, c = ", ".join(f"q{i}" for i in each), ", ".join(f"c{i}" for i in each)
+    means = ", ".join(f"CAST(floor((2 * sum(q{i}) + count(*)) / (2.0 * count(*))) AS BIGINT) AS c{i}" for i in each)
+    return f"""WITH RECURSIVE f AS (SELECT vec_id, 'g' || label AS g, {", ".join(f"list_sum((embedding::DOUBLE[])[{8 * i - 7}:{8 * i}]) AS x{i}" for i in each)} FROM embeddings),
+    m AS (SELECT g, {", ".join(f"avg(x{i}) AS m{i}, stddev_pop(x{i}) AS d{i}" for i in each)} FROM f GROUP BY g),
+    z AS (SELECT vec_id, g, CAST(round(x1 * 1000000) AS BIGINT) AS s, {", ".join(f"CAST(round((x{i} - m{i}) / d{i} * 1000000) AS BIGINT) AS q{i}" for i in each)} FROM f JOIN m USING (g)),
+    p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY s, {q}) AS rk, count(*) OVER (PARTITION BY g) AS n FROM z),
+    c AS (SELECT 0 AS it, g, CAST(floor((rk - 1) * {k} / n) AS INT) AS k, {means} FROM p WHERE n >= {2 * k} GROUP BY 2, 3
+      UNION ALL SELECT it + 1, g, w.k, {means} FROM (SELECT it, p.vec_id, p.g, {q}, min(struct_pack(d := {" + ".join(f"(q{i} - c{i}) * (q{i} - c{i})" for i in each)}, k := c.k)) AS w FROM c JOIN p ON c.g = p.g WHERE it < {rounds} GROUP BY ALL) GROUP BY it, g, w.k),
+    a AS (SELECT p.vec_id, p.g, s, min(struct_pack(d := {" + ".join(f"(q{i} - c{i}) * (q{i} - c{i})" for i in each)}, k := c.k)).k AS k FROM p JOIN c ON c.g = p.g AND it = {rounds} GROUP BY ALL),
+    o AS (SELECT g, k, CAST(row_number() OVER (PARTITION BY g ORDER BY avg(s), k) - 1 AS INT) AS nivel_num FROM a GROUP BY g, k)
+    SELECT p.vec_id, p.g AS grupo, nivel_num, ['Suplente', 'Regular', 'Bueno', 'Elite'][nivel_num + 1] AS nivel FROM p LEFT JOIN a USING (vec_id) LEFT JOIN o ON o.g = a.g AND o.k = a.k"""
+
+
+@query("L4_levels_by_feature", _lloyd())
+def _(s, sf):
+    scored = scoring.component_scores(_vectors(s, sf), "grupo", _FEATS, _SIGNS)
+    return scoring.cluster_levels(scored, "grupo", _FEATS, score="f0").select("vec_id", "grupo", "nivel_num", "nivel")
+
+
+@query("L4_level_properties", "SELECT 'g' || label AS grupo, count(*) AS n, count(*) AS con_nivel, 4::BIGINT AS niveles, 1 AS en_orden FROM embeddings GROUP BY 1 HAVING count(*) >= 8")
+def _(s, sf):
+    """Every row of a large group has one of four levels, and levels follow the mean score."""
+    scored = scoring.component_scores(_vectors(s, sf), "grupo", _FEATS, _SIGNS)
+    rows = scoring.cluster_levels(scored, "grupo", _FEATS).groupBy("grupo", "nivel_num").agg(F.count(F.lit(1)).alias("n"), F.avg("score_ml").alias("m"))
+    out = rows.groupBy("grupo").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("nivel_num").isNotNull(), F.col("n"))).alias("con_nivel"), F.count("nivel_num").alias("niveles"),
+                                    (F.array_sort(F.collect_list(F.struct("nivel_num", "m")))["m"] == F.array_sort(F.collect_list("m"))).cast("int").alias("en_orden"))
+    return out.where("n >= 8")
+
+
+@league_query("G9_score_properties", """SELECT posicion_xi, count(*) AS n, CAST(CASE WHEN count(*) >= 2 AND posicion_xi <> 'OTRO' THEN 1 ELSE 0 END AS INT) AS con_score, CAST(CASE WHEN count(*) >= 8 AND posicion_xi <> 'OTRO' THEN count(*) ELSE 0 END AS BIGINT) AS con_nivel, 1 AS en_orden
+    FROM feats WHERE posicion_xi IS NOT NULL GROUP BY 1""")
+def _(L):
+    """Of the whole score job: nobody is lost, groups large enough have scores from 0 to 100 and levels that follow them."""
+    out = scoring.score_players(L.tb_player_season_stats, L.tb_squad_history, L.as_of).where("posicion_xi is not null")
+    rows = out.groupBy("posicion_xi", "nivel_num").agg(F.count(F.lit(1)).alias("n"), F.avg("score_ml").alias("m"), F.min("score_100").alias("lo"), F.max("score_100").alias("hi"))
+    ordered = F.array_sort(F.collect_list(F.when(F.col("nivel_num").isNotNull(), F.struct("nivel_num", "m"))))["m"] == F.array_sort(F.collect_list(F.when(F.col("nivel_num").isNotNull(), F.col("m"))))
+    return rows.groupBy("posicion_xi").agg(F.sum("n").alias("n"), (F.coalesce(F.min("lo"), F.lit(-1)).between(0, 50) & F.coalesce(F.max("hi"), F.lit(-1)).between(50, 100)).cast("int").alias("con_score"),
+                                           F.coalesce(F.sum(F.when(F.col("nivel_num").isNotNull(), F.col("n"))), F.lit(0)).alias("con_nivel"), ordered.cast("int").alias("en_orden"))
+
+
 @league_query("G9_ft_score_ml")
 def _(L):
     return scoring.score_players(L.tb_player_season_stats, L.tb_squad_history, L.as_of)

@@ -7,6 +7,8 @@ from typing import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import quantiles
+
 TEAM_MEASURES = {
     "total_pj": "partidos_jugados", "total_pg": "partidos_ganados", "total_pe": "partidos_empatados",
     "total_pp": "partidos_perdidos", "total_goles_favor": "goles_favor", "total_goles_contra": "goles_contra",
@@ -57,15 +59,10 @@ def rows_per(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("filas"))
 
 
-def fill_median(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
-    """Missing values take the median of the column.
-
-    The exact median keeps one counter per distinct value; for columns with very many distinct values
-    pass exact=False, which uses the bounded sketch.
-    """
-    middle = F.percentile(col, 0.5) if exact else F.percentile_approx(col, 0.5, 10000)
-    median = df.agg(middle.alias("_median")).scalar()
-    return df.withColumn(col, F.coalesce(F.col(col), median))
+def fill_median(df: DataFrame, col: str) -> DataFrame:
+    """Missing values take the exact median of the column, found at once in memory that does not grow with the data."""
+    median = quantiles.exact_quantile(df, col)
+    return df.withColumn(col, F.coalesce(F.col(col), F.lit(median).cast(df.schema[col].dataType)))
 
 
 def corr_by(df: DataFrame, key: str, x: str, y: str) -> DataFrame:

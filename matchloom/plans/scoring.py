@@ -6,19 +6,16 @@ leave the executors' partitions.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, measures, text
 from ..operators import aggregates, filters, ranking
-from ..session import scratch_dir
+from ..session import stored
 
 RATES = {
     "goles_p90": (("goles",), 1),
@@ -32,8 +29,7 @@ RATES = {
 }
 
 
-def player_features(stats: DataFrame, squads: DataFrame, min_minutes: int = fixed.MIN_MINUTES,
-                    exact_median: bool = True) -> DataFrame:
+def player_features(stats: DataFrame, squads: DataFrame, min_minutes: int = fixed.MIN_MINUTES) -> DataFrame:
     """Players with enough minutes, one profile row each, rates per 90 minutes and filled height.
 
     The profile of the player's own team is preferred, then the smallest squad key.
@@ -56,7 +52,7 @@ def player_features(stats: DataFrame, squads: DataFrame, min_minutes: int = fixe
     rated = (rated.withColumn("pie_zurdo", text.left_foot("pie"))
              .withColumn("altura", F.col("altura").try_cast("double"))
              .withColumn("posicion_xi", text.xi_code("posicion")))
-    return aggregates.fill_median(rated, "altura", exact_median).drop(
+    return aggregates.fill_median(rated, "altura").drop(
         "_club", "_own", "_posicion", "_o_pie", "_o_altura", "_o__posicion", "id_plantilla_equipo")
 
 
@@ -114,37 +110,74 @@ def component_scores(features: DataFrame, group: str = "posicion_xi",
     return joined.withColumn(score, dot).drop("_feats", "_mean", "_dev", "_weight")
 
 
-def _levels_of(scored: DataFrame, group: str, code: str, width: int, k: int, seed: int, score: str) -> DataFrame:
-    rows = scored.filter(F.col(group) == code)
-    flat = rows.select("*", *[F.get("_z", F.lit(i)).alias(f"_z{i}") for i in range(width)])
-    vectors = VectorAssembler(inputCols=[f"_z{i}" for i in range(width)], outputCol="_v").transform(flat)
-    model = KMeans(k=k, seed=seed, featuresCol="_v", predictionCol="_cluster", maxIter=50).fit(vectors)
-    assigned = model.transform(vectors).drop("_v", *[f"_z{i}" for i in range(width)])
-    means = assigned.groupBy("_cluster").agg(F.avg(score).alias("m")).orderBy("m", "_cluster").collect()
-    number = {r["_cluster"]: i for i, r in enumerate(means)}
-    return assigned.withColumn("nivel_num", text.map_label("_cluster", number)).drop("_cluster")
+UNIT = 1_000_000  # standardised features are whole millionths, so that sums and distances are exact
+
+
+def _centres(rows: DataFrame, group: str, k: int, most_rounds: int) -> dict[str, list[list[int]]]:
+    """Centres of each group's clusters: Lloyd rounds for all groups together, one job each, until no centre moves.
+
+    The first centres are the means of k equal parts of the group in the order of the score. Means of whole numbers are
+    rounded halves up, so nothing depends on the order or the place of the rows."""
+    width = max((len(r["_q"]) for r in rows.select("_q").groupBy(F.size("_q")).agg(F.first("_q").alias("_q")).collect()), default=0)
+    sums = [F.sum(F.get("_q", F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}") for i in range(width)]
+
+    def means(parts: DataFrame) -> dict[tuple, list[int]]:
+        out = {}
+        for r in parts.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("n"), *sums).collect():
+            out[r[group], r["_part"]] = [int((2 * int(r[f"s{i}"]) + r["n"]) // (2 * r["n"])) for i in range(width) if r[f"s{i}"] is not None]
+        return out
+
+    ranked = ranking.rank_table(rows, [group], [("_score", "asc"), ("_q", "asc")], "_rank")
+    sizes = rows.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = ranked.join(F.broadcast(sizes), F.col(group) == F.col("_g"))
+    first = means(placed.withColumn("_part", F.floor((F.col("_rank") - 1) * k / F.col("_n")).cast("int")))
+    centres = {g: [first[g, j] for j in range(k)] for g in {g for g, _ in first}}
+    for _ in range(most_rounds):
+        moved = means(_nearest(rows, group, centres))
+        after = {g: [moved.get((g, j), old) for j, old in enumerate(cs)] for g, cs in centres.items()}
+        if after == centres:
+            break
+        centres = after
+    return centres
+
+
+def _nearest(rows: DataFrame, group: str, centres: Mapping[str, list[list[int]]]) -> DataFrame:
+    """Column `_part`: the nearest centre of the row's group, the first of equally near ones. There are k centres a configured
+    group, so the broadcast is bounded by the configuration."""
+    spark = rows.sparkSession
+    known = spark.createDataFrame(list(centres.items()), "_g string, _c array<array<bigint>>")
+
+    def far(c: Column) -> Column:
+        return F.aggregate(F.zip_with("_q", c, lambda a, b: (a - b).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"), lambda t, d: (t + d * d).cast("decimal(38,0)"))
+
+    nearest = F.array_min(F.transform("_c", lambda c, j: F.struct(far(c).alias("d"), j.alias("j"))))["j"]
+    return rows.join(F.broadcast(known), F.col(group) == F.col("_g")).withColumn("_part", nearest).drop("_g", "_c")
 
 
 def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
-                   by_group: Mapping[str, Sequence[str]] = fixed.SCORE_FEATURES, k: int = 4, seed: int = 42,
-                   score: str = "score_ml") -> DataFrame:
+                   by_group: Mapping[str, Sequence[str]] = fixed.SCORE_FEATURES, k: int = 4,
+                   score: str = "score_ml", most_rounds: int = 300) -> DataFrame:
     """Clusters each group on its z-scored features and numbers the clusters by mean score, lowest first.
 
-    One model per position, a few fitted at a time; groups with fewer than 2k rows get no level.
-    """
-    path = scratch_dir(scored.sparkSession)
-    scored.write.parquet(path)
-    scored = scored.sparkSession.read.parquet(path)
+    Groups with fewer than 2k rows get no level. The levels do not depend on the order or the partitions of the rows."""
+    scored = stored(scored)
     sizes = {r[group]: r["n"] for r in scored.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect() if r[group] in by_group}
-    parts = [scored.filter(~F.coalesce(F.col(group).isin([g for g, n in sizes.items() if n >= 2 * k]), F.lit(False)))
-             .withColumn("nivel_num", F.lit(None).cast("int"))]
     large = sorted(g for g, n in sizes.items() if n >= 2 * k)
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        parts += list(pool.map(lambda g: _levels_of(scored, group, g, len(by_group[g]), k, seed, score), large))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("nivel", text.map_label("nivel_num", dict(enumerate(fixed.LEVELS))))
+    whole = F.transform("_z", lambda z: F.round(z * UNIT).cast("bigint"))
+    inside = F.coalesce(F.col(group).isin(large), F.lit(False)) if large else F.lit(False)
+    rows = stored(scored.filter(inside).select(group, whole.alias("_q"), F.round(F.col(score) * UNIT).cast("bigint").alias("_score")))
+    centres = _centres(rows, group, k, most_rounds)
+    mean = F.sum(F.col("_score").cast("decimal(38,0)")) / F.count(F.lit(1))
+    order = sorted((r[group], r["m"], r["_part"]) for r in _nearest(rows, group, centres).groupBy(group, "_part").agg(mean.alias("m")).collect())
+    number: dict[str, list[int | None]] = {g: [None] * k for g in centres}
+    for g in centres:
+        for i, j in enumerate(j for h, _, j in order if h == g):
+            number[g][j] = i
+    names = scored.sparkSession.createDataFrame(list(number.items()), "_g string, _number array<int>")
+    placed = _nearest(scored.filter(inside).withColumn("_q", whole), group, centres).join(F.broadcast(names), F.col(group) == F.col("_g"))
+    placed = placed.withColumn("nivel_num", F.get("_number", F.col("_part"))).drop("_g", "_number", "_part", "_q")
+    rest = scored.filter(~inside).withColumn("nivel_num", F.lit(None).cast("int"))
+    return rest.unionByName(placed).withColumn("nivel", text.map_label("nivel_num", dict(enumerate(fixed.LEVELS))))
 
 
 def score_players(stats: DataFrame, squads: DataFrame, as_of: Column | None = None,
@@ -170,10 +203,22 @@ def score_rows(leveled: DataFrame, as_of: Column | None = None) -> DataFrame:
                           F.col("temporada").alias("periodo"))
 
 
-def score_summary(score: DataFrame) -> DataFrame:
-    """Players per level and mean score per season."""
+def score_summary(score: DataFrame, few_minutes: int = 900, many_minutes: int = 1800,
+                  low_score: float = 40.0) -> DataFrame:
+    """The four lists of the score's overview, told apart by `tipo`: players per level and mean score per season, and by name
+    the hidden gems (a high level in few minutes) and the regular players with a low score."""
     levels = score.groupBy(F.coalesce("nivel", F.lit("Sin nivel")).alias("grupo")).agg(
         F.count(F.lit(1)).alias("jugadores"), F.round(F.avg("score_100"), 2).alias("score_medio"))
     years = score.groupBy(F.col("temporada").cast("string").alias("grupo")).agg(
         F.count(F.lit(1)).alias("jugadores"), F.round(F.avg("score_100"), 2).alias("score_medio"))
-    return levels.withColumn("tipo", F.lit("nivel")).unionByName(years.withColumn("tipo", F.lit("temporada")))
+    person = score.withColumn("_one", F.concat_ws("|", "jugador", "nombre_equipo", F.col("temporada").cast("string"), "posicion_xi"))
+    gems = person.filter(F.col("nivel").isin(fixed.LEVELS[-2:]) & (F.col("minutos_jugados") <= few_minutes))
+    idle = person.filter((F.col("minutos_jugados") >= many_minutes) & (F.col("score_100") <= low_score))
+    lists = [levels.withColumn("tipo", F.lit("nivel")), years.withColumn("tipo", F.lit("temporada"))]
+    for rows, name in ((gems, "gema"), (idle, "titular_bajo")):
+        lists.append(rows.groupBy(F.col("_one").alias("grupo")).agg(F.count(F.lit(1)).alias("jugadores"), F.round(F.avg("score_100"), 2).alias("score_medio"))
+                     .withColumn("tipo", F.lit(name)))
+    out = lists[0]
+    for rows in lists[1:]:
+        out = out.unionByName(rows)
+    return out
