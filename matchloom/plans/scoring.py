@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, measures, text
 from ..operators import aggregates, filters, ranking
-from ..session import stored
+from ..session import spread, stored
 
 RATES = {
     "goles_p90": (("goles",), 1),
@@ -52,8 +52,9 @@ def player_features(stats: DataFrame, squads: DataFrame, min_minutes: int = fixe
     rated = (rated.withColumn("pie_zurdo", text.left_foot("pie"))
              .withColumn("altura", F.col("altura").try_cast("double"))
              .withColumn("posicion_xi", text.xi_code("posicion")))
-    return aggregates.fill_median(rated, "altura").drop(
-        "_club", "_own", "_posicion", "_o_pie", "_o_altura", "_o__posicion", "id_plantilla_equipo")
+    # Stored, as the median and then the rows are read from it.
+    rated = stored(rated.drop("_club", "_own", "_posicion", "_o_pie", "_o_altura", "_o__posicion", "id_plantilla_equipo"))
+    return spread(aggregates.fill_median(rated, "altura"))
 
 
 def component_weights(features: DataFrame, group: str, by_group: Mapping[str, Sequence[str]],
@@ -103,23 +104,23 @@ def component_scores(features: DataFrame, group: str = "posicion_xi",
                      sign_of: Mapping[str, str] = fixed.SCORE_SIGN_REFERENCE, score: str = "score_ml") -> DataFrame:
     """Adds the score, the explained share and the z-scored features `_z`; the score is NULL in groups below two rows
     and in groups without a configuration."""
-    weights = component_weights(features, group, by_group, sign_of)
+    weights = stored(component_weights(features, group, by_group, sign_of))
     # At most one row per configured group, so the broadcast is bounded by the configuration.
     joined = features.join(F.broadcast(weights), group, "left").withColumn("_z", _standardised(group, by_group))
     dot = F.aggregate(F.zip_with("_z", "_weight", lambda z, w: z * w), F.lit(0.0), lambda acc, x: acc + x)
     return joined.withColumn(score, dot).drop("_feats", "_mean", "_dev", "_weight")
 
 
-UNIT = 1_000_000  # standardised features are whole millionths, so that sums and distances are exact
+UNIT = 1_000_000  # standardised features are whole millionths, so that sums over rows are exact
 
 
-def _centres(rows: DataFrame, group: str, k: int, most_rounds: int) -> dict[str, list[list[int]]]:
+def _centres(rows: DataFrame, group: str, k: int, sizes: Mapping[str, int], most_rounds: int) -> dict[str, list[list[int]]]:
     """Centres of each group's clusters: Lloyd rounds for all groups together, one job each, until no centre moves.
 
-    The first centres are the means of k equal parts of the group in the order of the score. Means of whole numbers are
+    The first centres are the means of k equal parts of the group in the order of (score, hash of the features). Means of whole numbers are
     rounded halves up, so nothing depends on the order or the place of the rows."""
     width = max((len(r["_q"]) for r in rows.select("_q").groupBy(F.size("_q")).agg(F.first("_q").alias("_q")).collect()), default=0)
-    sums = [F.sum(F.get("_q", F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}") for i in range(width)]
+    sums = [F.sum(F.get("_q", F.lit(i)).cast("decimal(18,0)")).alias(f"s{i}") for i in range(width)]
 
     def means(parts: DataFrame) -> dict[tuple, list[int]]:
         out = {}
@@ -127,11 +128,13 @@ def _centres(rows: DataFrame, group: str, k: int, most_rounds: int) -> dict[str,
             out[r[group], r["_part"]] = [int((2 * int(r[f"s{i}"]) + r["n"]) // (2 * r["n"])) for i in range(width) if r[f"s{i}"] is not None]
         return out
 
-    ranked = ranking.rank_table(rows, [group], [("_score", "asc"), ("_q", "asc")], "_rank")
-    sizes = rows.groupBy(F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-    placed = ranked.join(F.broadcast(sizes), F.col(group) == F.col("_g"))
-    first = means(placed.withColumn("_part", F.floor((F.col("_rank") - 1) * k / F.col("_n")).cast("int")))
-    centres = {g: [first[g, j] for j in range(k)] for g in {g for g, _ in first}}
+    place = F.struct(F.col("_score").alias("s"), F.xxhash64("_q").alias("h"))
+    ranked = ranking.rank_table(rows.select(group, "_score", F.xxhash64("_q").alias("_h")), [group], [("_score", "asc"), ("_h", "asc")], "_rank")
+    begins = rows.sparkSession.createDataFrame([(g, j, -(-j * n // k) + 1) for g, n in sizes.items() for j in range(1, k)], "_g string, _j int, _r int")
+    cuts = ranked.join(F.broadcast(begins), (F.col(group) == F.col("_g")) & (F.col("_rank") == F.col("_r"))).groupBy("_g").agg(F.collect_list(F.struct(F.col("_score").alias("s"), F.col("_h").alias("h"))).alias("_cuts"))
+    cut = rows.join(F.broadcast(stored(cuts)), F.col(group) == F.col("_g"))
+    first = means(cut.withColumn("_part", F.size(F.filter("_cuts", lambda c: c <= place))))
+    centres = {g: [first[g, j] for j in range(k) if (g, j) in first] for g in sizes}
     for _ in range(most_rounds):
         moved = means(_nearest(rows, group, centres))
         after = {g: [moved.get((g, j), old) for j, old in enumerate(cs)] for g, cs in centres.items()}
@@ -147,8 +150,8 @@ def _nearest(rows: DataFrame, group: str, centres: Mapping[str, list[list[int]]]
     spark = rows.sparkSession
     known = spark.createDataFrame(list(centres.items()), "_g string, _c array<array<bigint>>")
 
-    def far(c: Column) -> Column:
-        return F.aggregate(F.zip_with("_q", c, lambda a, b: (a - b).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"), lambda t, d: (t + d * d).cast("decimal(38,0)"))
+    def far(c: Column) -> Column:  # doubles, added up in the order of the features
+        return F.aggregate(F.zip_with("_q", c, lambda a, b: (a - b).cast("double")), F.lit(0.0), lambda t, d: t + d * d)
 
     nearest = F.array_min(F.transform("_c", lambda c, j: F.struct(far(c).alias("d"), j.alias("j"))))["j"]
     return rows.join(F.broadcast(known), F.col(group) == F.col("_g")).withColumn("_part", nearest).drop("_g", "_c")
@@ -159,17 +162,18 @@ def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
                    score: str = "score_ml", most_rounds: int = 300) -> DataFrame:
     """Clusters each group on its z-scored features and numbers the clusters by mean score, lowest first.
 
-    Groups with fewer than 2k rows get no level. The levels do not depend on the order or the partitions of the rows."""
-    scored = stored(scored)
-    sizes = {r[group]: r["n"] for r in scored.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect() if r[group] in by_group}
-    large = sorted(g for g, n in sizes.items() if n >= 2 * k)
+    Groups with fewer than 2k rows get no level; one with many equal rows can have fewer than k levels. The levels do not depend
+    on the order or the partitions of the rows. `scored` is read twice: for the features, which are stored, and for the result."""
     whole = F.transform("_z", lambda z: F.round(z * UNIT).cast("bigint"))
-    inside = F.coalesce(F.col(group).isin(large), F.lit(False)) if large else F.lit(False)
-    rows = stored(scored.filter(inside).select(group, whole.alias("_q"), F.round(F.col(score) * UNIT).cast("bigint").alias("_score")))
-    centres = _centres(rows, group, k, most_rounds)
-    mean = F.sum(F.col("_score").cast("decimal(38,0)")) / F.count(F.lit(1))
+    known = F.coalesce(F.col(group).isin(list(by_group)), F.lit(False))
+    rows = stored(scored.filter(known & F.col("_z").isNotNull()).select(group, whole.alias("_q"), F.round(F.col(score) * UNIT).cast("bigint").alias("_score")))
+    sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect() if r["n"] >= 2 * k}
+    inside = F.coalesce(F.col(group).isin(list(sizes)), F.lit(False))
+    rows = spread(rows.filter(inside))
+    centres = _centres(rows, group, k, sizes, most_rounds)
+    mean = F.sum(F.col("_score").cast("decimal(18,0)")) / F.count(F.lit(1))
     order = sorted((r[group], r["m"], r["_part"]) for r in _nearest(rows, group, centres).groupBy(group, "_part").agg(mean.alias("m")).collect())
-    number: dict[str, list[int | None]] = {g: [None] * k for g in centres}
+    number: dict[str, list[int | None]] = {g: [None] * len(cs) for g, cs in centres.items()}
     for g in centres:
         for i, j in enumerate(j for h, _, j in order if h == g):
             number[g][j] = i
@@ -185,9 +189,8 @@ def score_players(stats: DataFrame, squads: DataFrame, as_of: Column | None = No
                   sign_of: Mapping[str, str] = fixed.SCORE_SIGN_REFERENCE, k: int = 4,
                   min_minutes: int = fixed.MIN_MINUTES) -> DataFrame:
     scored = component_scores(player_features(stats, squads, min_minutes), by_group=by_group, sign_of=sign_of)
-    scaled = ranking.minmax_by(scored, "posicion_xi", "score_ml")
-    leveled = cluster_levels(scaled, by_group=by_group, k=k)
-    return score_rows(leveled, as_of)
+    leveled = cluster_levels(scored, by_group=by_group, k=k)
+    return score_rows(ranking.minmax_by(leveled, "posicion_xi", "score_ml"), as_of)
 
 
 def score_rows(leveled: DataFrame, as_of: Column | None = None) -> DataFrame:

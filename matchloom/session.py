@@ -44,3 +44,10 @@ def stored(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A stored table in at least one partition per core, for rows that are costly to work on. Only a table with fewer
+    partitions than cores moves, so its size is bounded."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
