@@ -37,13 +37,12 @@ PLAIN = regex.compile(r"[\x21-\x7E\u00A1-\u012F\u0131-\u024F]+")
 class Tokens(dict):
     """Little-endian 32-bit ids of each run of non-space bytes. White space ends every token, so a text's ids are those of
     its runs; and in runs of Latin letters and signs, which normalising leaves alone, those of the parts that the vocabulary
-    merges apart. Both caches forget when they are full; long runs are not kept."""
+    merges apart. A full cache keeps its older half, which holds the frequent entries; long runs are not kept."""
 
-    def __init__(self, vocabulary: str, most: int = 600_000, most_parts: int = 1_500_000):
+    def __init__(self, vocabulary: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
-        self.most, self.most_parts, self.tokenizer = most, most_parts, Tokenizer.from_file(vocabulary)
-        self.parts: dict[str, bytes] = {}
+        self.most, self.tokenizer = most, Tokenizer.from_file(vocabulary)
         words = self.tokenizer.get_vocab()
         self.last = np.zeros(max(words.values()) + 1, bool)  # ids that end a part
         self.last[[i for t, i in words.items() if t.endswith("</w>")]] = True
@@ -51,32 +50,24 @@ class Tokens(dict):
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def part(self, text: str) -> bytes:
-        ids = self.parts.get(text)
-        if ids is None:
-            if len(self.parts) >= self.most_parts:
-                self.parts.clear()
-            self.parts[text] = ids = self.encode(text)
-        return ids
-
     def learn(self, runs: set[bytes]) -> None:
-        """Encodes the new parts of many runs together, which is faster than one by one."""
-        new: set[str] = set()
+        """Splits each new run once into its parts, encodes many together, which is faster than one by one, and keeps the ids."""
+        if len(self) + len(runs) > self.most:
+            for run in list(self)[self.most // 2 :]:
+                del self[run]
+        split: list[tuple[bytes, list[str]]] = []
         for run in runs:
             text = run.decode("utf-8")
-            if self.plain(run, text):
-                new.update(p for p in PIECES.findall(text.lower()) if p not in self.parts)
-        if len(self.parts) + len(new) > self.most_parts:
-            self.parts.clear()
-        ordered = list(new)
-        for at in range(0, len(ordered), 1000):
-            some = ordered[at : at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(some):
+            if self.plain(run, text) and (parts := PIECES.findall(text.lower())):
+                split.append((run, parts))
+        for at in range(0, len(split), 1000):
+            some = split[at : at + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join([p for _, ps in some for p in ps]), add_special_tokens=False).ids, "<u4")
+            ends, upto = np.flatnonzero(self.last[ids]) + 1, np.cumsum([len(ps) for _, ps in some])
+            if len(ends) == upto[-1]:
                 data, before = ids.tobytes(), 0
-                for part, end in zip(some, (4 * ends).tolist(), strict=True):
-                    self.parts[part] = data[before:end]
+                for (run, _), end in zip(some, (4 * ends[upto - 1]).tolist(), strict=True):
+                    self[run] = data[before:end]
                     before = end
 
     @staticmethod
@@ -85,13 +76,8 @@ class Tokens(dict):
 
     def __missing__(self, run: bytes) -> bytes:
         text = run.decode("utf-8")
-        if not self.plain(run, text):
-            ids = self.encode(text)
-        else:
-            ids = b"".join(map(self.part, PIECES.findall(text.lower())))
+        ids = b"".join([self.encode(p) for p in PIECES.findall(text.lower())]) if self.plain(run, text) else self.encode(text)
         if len(run) <= 64:
-            if len(self) >= self.most:
-                self.clear()
             self[run] = ids
         return ids
 

@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from matchloom.llm import lattice_lm, minhash_dedup, mixing, packing, phrase_dedup, suffix_dedup
@@ -211,10 +212,33 @@ def test_packing_round_trip(docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_placing_rule_equals_brute_force():
+    """Every open sequence and a new one are tried; the smallest sum of squares wins, among equal sums the smallest gap."""
+    rnd = random.Random(8)
+    for limit in (7, 40):
+        lengths = sorted((rnd.randint(1, limit) for _ in range(400)), reverse=True) + [rnd.randint(1, limit) for _ in range(200)]
+        sequence, offset, n = packing.sum_of_squares(np.array(lengths), limit)
+        gaps: list[int] = []  # by sequence
+        for s, to, at in zip(lengths, sequence.tolist(), offset.tolist()):
+            def cost(place, s=s):
+                after = [g - s if k == place else g for k, g in enumerate([*gaps, limit] if place == len(gaps) else gaps)]
+                return sum(v * v for g, v in collections.Counter(after).items() if g)
+
+            choices = [k for k, g in enumerate(gaps) if g >= s] + [len(gaps)]
+            gap = lambda k: gaps[k] if k < len(gaps) else limit + 1
+            best = min(choices, key=lambda k: (cost(k), gap(k)))
+            assert (cost(to), gap(to)) == (cost(best), gap(best))
+            if to == len(gaps):
+                gaps.append(limit)
+            assert at == limit - gaps[to]
+            gaps[to] -= s
+        assert n == len(gaps)
+
+
 def test_special_and_odd_runs_tokenize_like_the_library():
     from tokenizers import Tokenizer
 
-    tokenizer, own = Tokenizer.from_file(packing.default_vocabulary()), packing.Tokens(packing.default_vocabulary(), 50, 50)
+    tokenizer, own = Tokenizer.from_file(packing.default_vocabulary()), packing.Tokens(packing.default_vocabulary(), 50)
     rnd = random.Random(2)
     for k in range(3000):
         text = "".join(rnd.choice("aAbZéßÇİıΣς'’1½²ª—“<|>sndt\u0301ﬁ \xa0\u2003\x1c#\n日") for _ in range(rnd.randint(0, 12))) if k else "a<|endoftext|>it's"
