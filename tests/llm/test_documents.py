@@ -88,6 +88,39 @@ def test_repeated_bytes(docs, empty, hot):
     assert suffix_dedup.remove_repeated_bytes(empty, length=100).count() == 0
 
 
+def test_repeated_bytes_at_full_length(spark, monkeypatch):
+    """The contract's 400 bytes over several shards, with anchors beyond `hot` places, blocks beyond BLOCK, and passages of over
+    50 words on both sides of 400 bytes: those below are no repeat by the contract, those above are all removed."""
+    import xxhash
+
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9)))
+    long, short = [" ".join(word() for _ in range(90)) for _ in range(30)], [" ".join("".join(rnd.choice("abc") for _ in range(5)) for _ in range(55)) for _ in range(30)]
+    common = " ".join(word() for _ in range(80))
+    assert min(map(len, long)) >= 400 > max(map(len, short))
+    texts = [" ".join(word() for _ in range(rnd.randint(30, 160))) + f" {i} " + (common if i % 4 < 3 else rnd.choice(long + short)) + " " + word() for i in range(1600)]
+    texts += [t for t in texts[:300] for _ in range(2)] + [" ".join(texts[:40]), None, ""]
+    assert sum(len(t or "") for t in texts) > 2 * suffix_dedup.BLOCK
+    count = collections.Counter(xxhash.xxh3_64_intdigest(b[s : s + 400]) for t in texts for b in [(t or "").encode()] for s in range(len(b) - 399))
+    want = []
+    for i, t in enumerate(texts):
+        b, gone = (t or "").encode(), np.zeros(len(t or "") + 1, np.int32)
+        for s in range(len(b) - 399):
+            if count[xxhash.xxh3_64_intdigest(b[s : s + 400])] > 1:
+                gone[s] += 1
+                gone[s + 400] -= 1
+        gone = np.cumsum(gone)[:-1] > 0
+        spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(b) else 0
+        want.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
+    monkeypatch.setattr(suffix_dedup.C, "SHARD_BYTES", 300_000)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    cols = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert found(suffix_dedup.remove_repeated_bytes(df), *cols) == sorted(want, key=repr)
+    for passage in [common, *long]:
+        holders = [i for i, t in enumerate(texts) if passage in (t or "")]
+        assert len(holders) < 2 or all(want[i][2] >= 400 for i in holders)
+
+
 def test_transform_equals_brute_force():
     rnd = random.Random(5)
     for _ in range(40):
