@@ -109,6 +109,21 @@ def _(s, sf):
     return readers.filter_files_by_year(files, 1997)
 
 
+@query("S10_resolved_folders", """SELECT modo, CAST(y AS INT) AS y, count(*) AS n, modo || '/' || destino AS destino FROM orders JOIN (VALUES ('HISTORICO', 1996, 'rdv/pedidos/stg/1996/curated'), ('REPROCESO', 1997, 'rdv/pedidos/1997/01/01/data'),
+    ('INCREMENTAL', 1995, 'rdv/pedidos/1995/03/04/data')) AS m(modo, y, destino) ON year(o_orderdate) = y GROUP BY 1, 2, 4""")
+def _(s, sf):
+    """A year of orders is written to the source folder of each mode, read from it, curated to its target and read again."""
+    out = None
+    for mode, year in (("HISTORICO", 1996), ("REPROCESO", 1997), ("INCREMENTAL", 1995)):
+        base = scratch_dir(s)
+        source, target = readers.resolve_input_path(mode, "pedidos", year, f"{year}-03-04 10:11:12", "rdv")
+        table(s, sf, "orders").filter(F.year("o_orderdate") == year).write.parquet(f"{base}/{source}")
+        s.read.parquet(f"{base}/{source}").withColumn("modo", F.lit(mode)).write.parquet(f"{base}/{target}")
+        rows = s.read.parquet(f"{base}/{target}").groupBy("modo", F.year("o_orderdate").alias("y")).agg(F.count(F.lit(1)).alias("n")).withColumn("destino", F.concat_ws("/", "modo", F.lit(target)))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("S11_params", "SELECT max(CASE WHEN r_name = 'ASIA' THEN n_name END) AS \"ASIA\", max(CASE WHEN r_name = 'EUROPE' THEN n_name END) AS \"EUROPE\" FROM nation JOIN region ON n_regionkey = r_regionkey")
 def _(s, sf):
     rows = table(s, sf, "nation").join(table(s, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))

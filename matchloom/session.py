@@ -32,10 +32,12 @@ def local_session(cores: int | str = 8, name: str = "matchloom", memory: str = "
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared folder the cluster names; a temporary one only where none is named."""
+    """A fresh folder under the shared folder the cluster names; a temporary one only in a local session that names none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "data")
 
 
