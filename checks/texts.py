@@ -208,6 +208,25 @@ def _(s, sf):
     return parsing.classify_cells(rows, "c", "v", "b")
 
 
+@query("Y11_cells_of_many_shapes", """SELECT o_orderkey, CASE WHEN k = 1 THEN 'Sin Número' ELSE CAST(o_custkey AS VARCHAR) END AS numero, CASE WHEN k = 6 THEN '' ELSE d END AS fecha_nacimiento, CASE WHEN k IN (3, 6) THEN '' ELSE '1,7' || (o_orderkey % 10) || 'm' END AS altura,
+    CASE WHEN k IN (3, 6) THEN '' WHEN o_orderstatus = 'F' THEN 'Izquierdo' ELSE 'Derecho' END AS pie, CASE WHEN k IN (3, 6) THEN '' ELSE '01/02/2020' END AS fecha_fichaje
+    FROM (SELECT *, o_orderkey % 7 AS k, strftime(o_orderdate, '%d/%m/%Y') || CASE WHEN o_orderkey % 7 = 5 THEN '' ELSE ' (30)' END AS d FROM orders) WHERE k <> 4""")
+def _(s, sf):
+    """Seven kinds of rows: the usual one, no number, cells in other places, fields missing, too short, upper case and a third date, no field at all."""
+    c = F.col("o_custkey").cast("string")
+    k = F.col("o_orderkey") % 7
+    born = F.concat(F.date_format("o_orderdate", "dd/MM/yyyy"), F.when(k == 5, "").otherwise(" (30)"))
+    tall = F.concat(F.lit("1,7"), (F.col("o_orderkey") % 10).cast("string"), F.lit("m"))
+    foot = F.when(F.col("o_orderstatus") == "F", "left foot").otherwise("Derecho")
+    since, name, none = F.lit("01/02/2020"), F.lit("Nombre"), F.lit("")
+    shapes = [[c, name, born, tall, foot, since, F.lit("x")], [none, name, tall, foot, born, since], [c, F.lit("09/09/1999"), foot, F.lit("x"), born, F.lit("1.80"), since, tall],
+              [c, name, born, F.lit("-"), none], [c, name, born, foot], [F.concat(F.lit(" "), c, F.lit(" ")), name, F.upper(foot), F.concat(tall, F.lit(" ")), born, since, F.lit("03/03/2021")], [c, name, F.lit("1,8 m"), F.lit("pie"), F.lit("2020")]]
+    cells = None
+    for i, shape in enumerate(shapes):
+        cells = F.when(k == i, F.array(*shape)) if cells is None else cells.when(k == i, F.array(*shape))
+    return parsing.classify_cells(table(s, sf, "orders").select("o_orderkey", cells.alias("c")), "c")
+
+
 # ---- score -----------------------------------------------------------------------------------
 
 

@@ -257,3 +257,35 @@ def name_matches(c: ColumnLike, text: str) -> Column:
 
 def any_word(c: ColumnLike, words: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [_c(c).contains(w) for w in words])
+
+
+def _prefix_tree_pattern(words: Iterable[str]) -> str:
+    """A pattern for the longest of the words at a place, which looks at each letter once."""
+    tree: dict = {}
+    for w in words:
+        node = tree
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        branches = [(ch if ch.isalnum() else "\\" + ch) + pattern(rest) for ch, rest in sorted(node.items()) if ch]
+        if not branches:
+            return ""
+        joined = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+        return f"(?:{joined})?" if "" in node else joined
+
+    return pattern(tree)
+
+
+def words_found(c: ColumnLike, words: Iterable[str]) -> Column:
+    """The longest of the words at every place of the text where one begins, overlapping ones too, each once; one pass."""
+    starts = "".join(sorted({w[0] if w[0].isalnum() else "\\" + w[0] for w in words}))
+    return F.array_distinct(F.regexp_extract_all(_c(c), F.lit(f"(?=[{starts}])(?=({_prefix_tree_pattern(words)}))"), F.lit(1)))
+
+
+def any_found(found: ColumnLike, every: Iterable[str], words: Iterable[str]) -> Column:
+    """Whether one of `words` stands in the text, from what `words_found` gave for `every` word: a word also stands where a
+    longer one that begins with it was found."""
+    wanted = tuple(words)
+    return F.arrays_overlap(_c(found), F.array(*[F.lit(w) for w in every if w.startswith(wanted)]))

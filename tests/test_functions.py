@@ -84,3 +84,14 @@ def test_dynamic_json_uses_all_rows(spark):
     out = jsonx.expand_dynamic(spark.createDataFrame(rows, "i int, data string"), "data")
     assert set(out.columns) == {"i", "a", "late", "sub_q"}
     assert out.filter("i = 999").first().asDict() == {"i": 999, "a": "2", "late": "x", "sub_q": "5"}
+
+
+def test_words_found_in_one_pass(spark):
+    import random
+
+    rnd = random.Random(4)
+    listed = ["ab", "abc", "abcd", "b c", " dt ", "dt ", "c", "xi", "g/e/p", "año", "b"]
+    texts = ["".join(rnd.choice("abcdtxigep/ ñ") for _ in range(rnd.randint(0, 40))) for _ in range(400)] + ["abcd b c dt g/e/p año", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.words_found("t", listed).alias("f"))
+    got = df.select("t", *[text.any_found("f", listed, [w, "zz"]).alias(f"w{k}") for k, w in enumerate(listed)]).collect()
+    assert all(r[f"w{k}"] == (None if r["t"] is None else w in r["t"]) for r in got for k, w in enumerate(listed))
