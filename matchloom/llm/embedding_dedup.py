@@ -54,6 +54,16 @@ class MultiIndex:
     def cells(self, x: np.ndarray) -> np.ndarray:
         return distances(x[:, : self.half], self.first).argmin(1) * len(self.second) + distances(x[:, self.half :], self.second).argmin(1)
 
+    def places(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Place of y's cell in the traversal from x, for each pair of rows: cells that are nearer or as near come before it."""
+        d1, d2 = distances(x[:, : self.half], self.first), distances(x[:, self.half :], self.second)
+        cell = self.cells(y)
+        out = np.zeros(len(x), np.int64)
+        for r in range(len(x)):
+            far = d1[r, cell[r] // len(self.second)] + d2[r, cell[r] % len(self.second)]
+            out[r] = (d1[r][:, None] + d2[r][None] <= far).sum() - 1
+        return out
+
     def sequences(self, x: np.ndarray, visits: int | None = None) -> np.ndarray:
         """For each vector the nearest cells, by multi-sequence traversal of both sorted distance lists."""
         visits = min(visits or self.visits, len(self.first) * len(self.second))
@@ -79,7 +89,7 @@ class MultiIndex:
 
 def fit(sample: np.ndarray, n: int, least: float, recall: float) -> MultiIndex:
     """Codebooks, and how many cells to visit: enough for `recall` of neighbours put at random directions from sample
-    vectors, at cosines evenly between `least` and 1."""
+    vectors, at cosines evenly between `least` and 1, however many these are."""
     half = sample.shape[1] // 2
     k = int(min(MOST_CENTRES, max(2, round((n / CELL_ROWS) ** 0.5)), len(sample)))
     index = MultiIndex(centres(sample[:, :half], k), centres(sample[:, half:], k), half, 1)
@@ -91,10 +101,7 @@ def fit(sample: np.ndarray, n: int, least: float, recall: float) -> MultiIndex:
     noise = np.divide(noise, norm, out=np.zeros_like(noise), where=norm > 0)
     cos = rng.uniform(least, 1.0, (len(x), 1))
     y = cos * x + np.sqrt(1 - cos**2) * noise
-    visits = min(len(index.first) * len(index.second), 4096)
-    seen = index.sequences(x, visits) == index.cells(y)[:, None]
-    rank = np.where(seen.any(1), seen.argmax(1), visits - 1)
-    index.visits = int(np.quantile(rank, recall)) + 1
+    index.visits = int(np.quantile(index.places(x, y), recall)) + 1
     return index
 
 

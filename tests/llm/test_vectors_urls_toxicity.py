@@ -21,6 +21,29 @@ def vectors():
     return rows + [(500 + i, v, 0, 1, 2, "v", 3) for i, v in enumerate(odd)] + [(None, rows[5][1], 0, 1, 2, "v", 3)]
 
 
+def test_recall_with_many_centres(spark):
+    """Links of all vectors against brute force, with the codebooks of a table of 200,000 rows (22 centres a half)."""
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(4000, 48))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = rng.normal(size=(1500, 48))
+    away -= (away * base[:1500]).sum(1, keepdims=True) * base[:1500]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cos = rng.uniform(0.9, 1.0, (1500, 1))
+    x = np.concatenate([base, cos * base[:1500] + np.sqrt(1 - cos**2) * away])
+    index = embedding_dedup.fit(x, 200_000, 0.9, 0.99)
+    cells = index.cells(x)
+    assert len(index.first) * len(index.second) > 400 and index.visits < len(index.first) * len(index.second)
+    seen = index.sequences(x[:1500])
+    assert np.mean((seen == cells[4000:, None]).any(1)) > 0.96
+    place = index.places(x[:1500], x[4000:])
+    inside = place < index.visits
+    assert np.array_equal(inside, (seen == cells[4000:, None]).any(1)) and np.array_equal(seen[inside, place[inside]], cells[4000:][inside])
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    true = (x @ x.T >= 0.9).sum(1) - 1
+    assert all(got[i] <= n for i, n in enumerate(true)) and sum(got.values()) >= 0.96 * true.sum()
+
+
 def test_near_vectors(spark):
     df = spark.createDataFrame(vectors(), VECTORS)
     got = embedding_dedup.near_vectors(df).collect()
