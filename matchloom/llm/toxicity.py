@@ -138,8 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Lexicon and curve from labelled rows; at most `sample` documents a class, those with the smallest hash of their id.
 
     An entry must stand in `share` of the toxic documents (five at least), copies of a text counted once, and be significantly
-    more frequent there than in clean ones. Where the labels of an id, or of copies of a text, disagree, it counts as toxic. Insults of the fixed list come in unless clean documents hold them; without toxic or
-    clean rows the lexicon is that list, with the default curve."""
+    more frequent there than in clean ones. Where the labels of an id, or of copies of a text, disagree, it counts as toxic.
+    Insults of the fixed list come in unless clean documents hold them; without toxic or clean rows the lexicon is that list,
+    with the default curve."""
     lab = labels.select(F.col(id_col).alias("id"), F.col(toxic).cast("int").alias("y")).where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
     n = {r["y"]: r["count"] for r in lab.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
