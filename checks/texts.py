@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions import fixed, words
 from matchloom.operators import parsing, ranking, resolve
+from matchloom.plans import questions as plans_questions
 from matchloom.plans import routing, scoring
 
 from .registry import league_query, query, table
@@ -33,15 +34,57 @@ def has(ws) -> str:
     return "(" + " OR ".join(f"contains(t, '{w}')" for w in ws) + ")"
 
 
+def _list(ws) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+
+
+def _pair_sql(names: str) -> str:
+    """CTEs up to `pairs(id, texto, t, offers, kind, a, b, known)` for the names of a statement with column n."""
+    ws = "list_filter(regexp_split_to_array(trim({x}), '\\s+'), lambda w: w <> '')"
+    last = "array_to_string(list_slice({x}, greatest(len({x}) - 2, 1), len({x})), ' ')"
+    side = []
+    for i, sep in enumerate(words.VERSUS_SEPARATORS):
+        left = ws.format(x=f"split_part(trim(left(c, CAST(strpos(c, '{sep}') - 1 AS INT))), ',', 1)")
+        right = ws.format(x=f"regexp_split_to_array(split_part(trim(substr(c, CAST(strpos(c, '{sep}') + {len(sep)} AS INT))), ',', 1), '\\s+(?:para|en\\s+\\d{{4}}|\\d{{4}}|del|de\\s+\\d{{4}}|\\?)')[1]")
+        side.append(f"CASE WHEN strpos(c, '{sep}') > 0 THEN {left} END AS l{i}, CASE WHEN strpos(c, '{sep}') > 0 THEN {right} END AS r{i}")
+    trimmed = ", ".join(f"list_slice(l{i}, coalesce(list_position(list_transform(l{i}, lambda w: NOT list_contains({_list(words.NOISE_WORDS)}, w)), true), len(l{i}) + 1), len(l{i})) AS k{i}" for i in range(3))
+    ends = ", ".join(f"{last.format(x=f'k{i}')} AS a{i}, array_to_string(r{i}[1:3], ' ') AS b{i}" for i in range(3))
+    sides = " ".join(f"WHEN length(a{i}) > 2 AND length(b{i}) > 2 THEN struct_pack(a := a{i}, b := b{i})" for i in range(3))
+    between = "'entre\\s+(.+?)\\s+y\\s+(.+?)(?:\\s+(?:para|en|del|\\?)|$)'"
+    grams = "list_distinct(list_transform(range(1, length({x})), lambda i: substr(replace({x}, ' ', '_'), i, 2)))"
+    return f"""nm AS (SELECT DISTINCT n FROM ({names}) WHERE length(n) >= 4), every AS (SELECT list(n ORDER BY -length(n), n) AS ns FROM nm),
+    base AS (SELECT id, texto, lower(texto) AS t, CASE WHEN {has(words.VERSUS_WORDS)} THEN lower(texto) END AS c, list_filter(ns, lambda n: contains(lower(texto), n)) AS offers FROM (SELECT id, texto, lower(texto) AS t FROM {QUESTIONS_SQL}), every),
+    cut AS (SELECT *, {", ".join(side)}, {ws.format(x=f"regexp_extract(c, {between}, 1)")} AS x0, {ws.format(x=f"regexp_extract(c, {between}, 2)")} AS y0 FROM base),
+    ends AS (SELECT *, {ends}, {last.format(x="x0")} AS x, array_to_string(y0[1:3], ' ') AS y FROM (SELECT *, {trimmed} FROM cut)),
+    kinds AS (SELECT *, CASE WHEN c IS NULL THEN NULL WHEN len(offers) >= 2 THEN 'named' WHEN side IS NOT NULL THEN 'worded' WHEN x <> '' AND y <> '' THEN 'spoken' END AS kind FROM (SELECT *, CASE {sides} END AS side FROM ends)),
+    parties AS (SELECT DISTINCT unnest([side.a, side.b]) AS p FROM kinds WHERE kind = 'worded'),
+    met AS (SELECT p, n, CASE WHEN p = n THEN 0 WHEN contains(p, n) OR contains(n, p) THEN 1 WHEN sim > 0.55 THEN 2 END AS s, sim FROM
+      (SELECT p, n, len(list_intersect(g, h)) / len(list_distinct(list_concat(g, h))) AS sim FROM (SELECT p, {grams.format(x="p")} AS g FROM parties), (SELECT n, {grams.format(x="n")} AS h FROM nm))),
+    best AS (SELECT p, list(n ORDER BY s, CASE WHEN s = 2 THEN -sim ELSE -length(n) END, n)[1] AS n FROM met WHERE s IS NOT NULL GROUP BY 1),
+    pairs AS (SELECT id, texto, t, offers, kind, CASE kind WHEN 'named' THEN offers[1] WHEN 'worded' THEN coalesce(u.n, side.a) WHEN 'spoken' THEN x END AS a, CASE kind WHEN 'named' THEN offers[2] WHEN 'worded' THEN coalesce(v.n, side.b) WHEN 'spoken' THEN y END AS b,
+      CASE kind WHEN 'named' THEN true WHEN 'worded' THEN u.n IS NOT NULL OR v.n IS NOT NULL WHEN 'spoken' THEN list_contains(offers, x) OR list_contains(offers, y) END AS known
+      FROM kinds LEFT JOIN best u ON kind = 'worded' AND side.a = u.p LEFT JOIN best v ON kind = 'worded' AND side.b = v.p)"""
+
+
+# Teams, some of the words that stand for them, and an alias for each.
+TEAMS_SQL = f"SELECT lower(s_name) AS n FROM supplier UNION ALL SELECT 'club ' || s_suppkey FROM supplier UNION ALL SELECT unnest({_list(words.EXTRA_TEAM_NAMES)})"
+PAIR, TEAM_PAIR = _pair_sql("SELECT lower(s_name) AS n FROM supplier"), _pair_sql(TEAMS_SQL)
+
+
+def _teams(s, sf):
+    teams = table(s, sf, "supplier").select(F.col("s_name").alias("nombre_equipo"), F.concat(F.lit("Club "), F.col("s_suppkey").cast("string")).alias("alias_equipo"))
+    return plans_questions.known_team_names(teams, words.EXTRA_TEAM_NAMES)
+
+
 def _intent_sql() -> str:
     f = {n: has(ws) for n, ws in words.INTENT_WORDS.items()}
     f["mejor_xi"] = f"({f['mejor_xi']} OR regexp_matches(t, '\\bxi\\b'))"
     f["goles_equipo"] = f"({has(words.TEAM_GOAL_WORDS)} OR (contains(t, 'equipo') AND {has(words.TEAM_GOAL_PARTS)}))"
-    f["vs"] = has(words.VERSUS_WORDS)
+    f["vs"] = "(kind IS NOT NULL)"
     f["partidos"] = f"({f['partidos']} OR (contains(t, 'vs') AND NOT {f['vs']}))"
-    f["equipo"] = "contains(t, 'supplier#')"
+    f["equipo"] = "(coalesce(len(offers), 0) > 0)"
     spans = f"((len(ys) = 1 AND {has(words.UNTIL_NOW_WORDS)}) OR (len(ys) >= 2 AND ys[1] <> ys[-1]))"
-    e = {k: f"es_{k}" for k in f}
+    e = {k: f"has_{k}" for k in f}
     route = [("partido_rival", f"{e['h2h']} AND {e['vs']}"), ("goles_por_equipo", e["goles_equipo"]), ("vs_entrenadores", f"{e['vs']} AND {e['entrenadores']}"), ("vs", e["vs"]), ("campeones", e["campeones"]),
              ("entrenadores", e["entrenadores"]), ("mejor_xi", e["mejor_xi"]), ("gemas_ocultas", e["gemas_ocultas"]), ("bajo_rendimiento", e["bajo_rendimiento"]),
              ("score_ml_evolucion", f"{e['score_ml']} AND {has(words.SCORE_HISTORY_WORDS)}"), ("score_ml", e["score_ml"]),
@@ -50,15 +93,32 @@ def _intent_sql() -> str:
              ("evolucion_puntos", f"({e['evolucion']} OR span) AND {e['equipo']}"), ("gep_equipo", f"{e['gep']} AND {e['equipo']}"), ("precision_tiro", e["precision_tiro"]), ("partidos_equipo", f"{e['partidos']} AND {e['equipo']}"),
              ("rendimiento_equipo", e["equipo"])]
     case = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in route) + " ELSE 'tabla_posiciones' END"
-    flags = ", ".join(f"{x} AS es_{n}" for n, x in f.items())
-    ints = ", ".join(f"CAST(es_{n} AS INT) AS es_{n}" for n in f)
-    return (f"SELECT id, {ints}, {case} AS ruta FROM (SELECT *, {flags}, {spans} AS span FROM (SELECT id, lower(texto) AS t, regexp_extract_all(texto, '\\b(20\\d{{2}})\\b', 1) AS ys FROM {QUESTIONS_SQL}))")
+    flags = ", ".join(f"{x} AS has_{n}" for n, x in f.items())
+    ints = ", ".join(f"CAST(has_{n} AS INT) AS es_{n}" for n in f)
+    year = f"CASE WHEN {has(words.THIS_YEAR_WORDS)} AND len(ys) = 0 THEN 2024 WHEN NOT coalesce({spans}, false) THEN TRY_CAST(ys[1] AS INT) END"
+    return (f"{TEAM_PAIR}, routed AS (SELECT *, {ints}, {case} AS ruta, offers[1] AS equipo FROM (SELECT *, {flags}, {spans} AS span, CAST({year} AS INT) AS temporada FROM (SELECT *, regexp_extract_all(texto, '\\b(20\\d{{2}})\\b', 1) AS ys FROM pairs)))",
+            ", ".join(f"es_{n}" for n in f))
+
+
+ROUTED, FLAGS = _intent_sql()
+# A player's name holds every long word of one of the parties.
+HELD = "EXISTS (SELECT 1 FROM (SELECT lower(c_name) || ' ' || lower(c_mktsegment) AS n FROM customer) k WHERE {x} IS NOT NULL AND len(list_filter(CASE WHEN len({l}) > 0 THEN {l} ELSE [trim({x})] END, lambda w: NOT contains(k.n, w))) = 0)"
+LONG = "list_filter(regexp_split_to_array(trim({x}), '\\s+'), lambda w: length(w) >= 3)"
+
+
+@query("Y02_intents_and_route", f"WITH {ROUTED} SELECT id, {FLAGS}, ruta, a AS entidad_a, b AS entidad_b, equipo, temporada FROM routed")
+def _(s, sf):
+    out = routing.route_questions(questions(s, sf), "texto", _teams(s, sf), this_year=F.lit(2024))
+    return out.select("id", *[c for c in out.columns if c.startswith("es_")], "ruta", "entidad_a", "entidad_b", "equipo", "temporada")
 
 
-@query("Y02_intents_and_route", _intent_sql())
+@query("Y02_targets_of_questions", f"""WITH {ROUTED}, loose AS (SELECT p, {HELD.format(x="p", l="l")} AS held FROM (SELECT p, {LONG.format(x="p")} AS l FROM (SELECT DISTINCT unnest([a, b]) AS p FROM routed WHERE ruta = 'vs' AND NOT known)))
+    SELECT id, ruta, CASE WHEN ruta <> 'vs' THEN '["' || ruta || '"]' WHEN known THEN '["vs_equipos","vs_detalle_estadisticas"' || CASE WHEN temporada IS NULL THEN ']' ELSE ',"partido_rival"]' END
+    WHEN u.held OR v.held THEN '["vs_jugadores"]' ELSE '["vs_entrenadores"]' END AS objetivos FROM routed LEFT JOIN loose u ON ruta = 'vs' AND a = u.p LEFT JOIN loose v ON ruta = 'vs' AND b = v.p""")
 def _(s, sf):
-    q = questions(s, sf)
-    return routing.tag_intents(q, "texto", team=F.lower("texto").contains("supplier#")).drop("texto")
+    players = table(s, sf, "customer").select(F.concat_ws(" ", "c_name", "c_mktsegment").alias("nombre"))
+    out = routing.route_questions(questions(s, sf), "texto", _teams(s, sf), players, this_year=F.lit(2024))
+    return out.select("id", "ruta", "objetivos")
 
 
 def _groups(groups) -> str:
@@ -99,7 +159,7 @@ def _(s, sf):
     return resolve.contained_ids(docs, known, "doc_id", "t", "p", n=8).groupBy("doc_id").agg(F.count(F.lit(1)).alias("pasajes"))
 
 
-@query("Y05_versus_pair")
+@query("Y05_versus_pair", f"WITH {PAIR} SELECT id, a AS entidad_a, b AS entidad_b FROM pairs")
 def _(s, sf):
     return routing.extract_vs_pair(questions(s, sf), table(s, sf, "supplier").select(F.col("s_name").alias("nombre")), "texto").drop("texto")
 
