@@ -685,10 +685,11 @@ def _(s, sf):
     return A.corr_by(table(s, sf, "lineitem"), "l_suppkey", "l_quantity", "l_extendedprice").withColumn("correlacion", F.round("correlacion", 6))
 
 
-@query("A16_covariances", "SELECT label, count(*) AS n, round(avg(e[1]), 8) AS ma, round(covar_pop(e[1], e[2]), 8) AS ab, round(var_pop(e[1]), 8) AS aa FROM (SELECT label, embedding::DOUBLE[] AS e FROM embeddings) GROUP BY 1")
+@query("A16_covariances", """SELECT label, count(*) AS n, CAST(i AS INT) AS i, CAST(j AS INT) AS j, round(avg(e[i + 1]), 8) AS media_i, round(avg(e[j + 1]), 8) AS media_j, round(covar_pop(e[i + 1], e[j + 1]), 8) AS cov
+    FROM (SELECT label, embedding::DOUBLE[] AS e FROM embeddings), (SELECT unnest(range(0, 64)) AS i), (SELECT unnest(range(0, 64)) AS j) WHERE i <= j GROUP BY label, i, j""")
 def _(s, sf):
-    e = table(s, sf, "embeddings").select("label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(2)])
-    return A.gram_by(e, "label", ["f0", "f1"]).select("label", "n", F.round("mean_f0", 8).alias("ma"), F.round("cov_f0__f1", 8).alias("ab"), F.round("cov_f0__f0", 8).alias("aa"))
+    out = A.covariances_of_vectors(table(s, sf, "embeddings"), "label", "embedding")
+    return out.select("label", "n", "i", "j", *[F.round(c, 8).alias(c) for c in ("media_i", "media_j", "cov")])
 
 
 @query("A17_mode_per_key", """SELECT o_custkey, o_orderpriority FROM (SELECT o_custkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderpriority) AS rn FROM orders GROUP BY 1, 2) WHERE rn = 1""")

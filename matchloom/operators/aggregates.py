@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from typing import Iterable
+from typing import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import quantiles
 
+# Triangles of sums that a task holds before it hands them on.
+GROUPS_HELD = 256
+
 TEAM_MEASURES = {
     "total_pj": "partidos_jugados", "total_pg": "partidos_ganados", "total_pe": "partidos_empatados",
     "total_pp": "partidos_perdidos", "total_goles_favor": "goles_favor", "total_goles_contra": "goles_contra",
@@ -79,6 +86,62 @@ def gram_by(df: DataFrame, key: str, feats: list[str]) -> DataFrame:
     )
 
 
+def covariances_of_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """Population covariance of every two elements of a vector column per group: (key, n, i, j, media_i, media_j, cov), i <= j from 0.
+
+    Each block of rows adds its products to one packed triangle per group; the triangles of the partitions are summed by place. The
+    plan does not grow with the vector, and a task holds `GROUPS_HELD` triangles at most. Products are taken around the
+    overall means, so that large means do not swallow small variances. Rows whose vector is null, holds null or NaN, or has
+    another length than the longest do not count; a null key is a group.
+    """
+    sound = (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")))
+    rows = df.select(F.col(key).alias("_key"), F.col(vector).cast("array<double>").alias("_v")).filter(sound)
+    size = rows.agg(F.max(F.size("_v"))).first()[0] or 0
+    rows = rows.filter(F.size("_v") == size)
+    means = rows.select(F.posexplode("_v").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"))
+    centre = np.array([r["m"] for r in means.orderBy("i").collect()], dtype="float64")
+    upper = np.triu_indices(size)
+
+    def triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+
+        def out() -> pa.RecordBatch:
+            batch = pa.record_batch([pa.array(list(held), kind), pa.array([list(v) for v in held.values()], pa.list_(pa.float64()))], ["_key", "_sums"])
+            held.clear()
+            return batch
+
+        kind = pa.null()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind = batch.column(0).type
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, size) - centre
+            found = pc.dictionary_encode(batch.column(0), null_encoding="encode")
+            of = found.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(of, kind="stable")
+            names, starts = np.unique(of[order], return_index=True)
+            for g, part in zip(names, np.split(x[order], starts[1:])):
+                sums = np.concatenate([[len(part)], part.sum(axis=0), (part.T @ part)[upper]])
+                name = found.dictionary[int(g)].as_py()
+                held[name] = held[name] + sums if name in held else sums
+                if len(held) >= GROUPS_HELD:
+                    yield out()
+        if held:
+            yield out()
+
+    schema = T.StructType([T.StructField("_key", df.schema[key].dataType), T.StructField("_sums", T.ArrayType(T.DoubleType()))])
+    sums = (rows.mapInArrow(triangles, schema).select("_key", F.posexplode("_sums").alias("at", "v")).groupBy("_key", "at").agg(F.sum("v").alias("v"))
+            .groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("at", "v")))["v"].alias("s")))
+    pairs = sums.select("_key", "s", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("i")).select(
+        "_key", "s", "i", F.explode(F.sequence(F.col("i"), F.lit(size - 1))).alias("j"))
+    middle = F.array(*map(F.lit, centre.tolist()))
+    i, j, n = F.col("i"), F.col("j"), F.get("s", F.lit(0))
+    at = (F.lit(1 + size) + i * size - F.floor(i * (i - 1) / 2) + (j - i)).cast("int")
+    mean = {c: F.get("s", 1 + F.col(c)) / n for c in ("i", "j")}
+    return pairs.select(F.col("_key").alias(key), n.cast("long").alias("n"), "i", "j", (F.get(middle, i) + mean["i"]).alias("media_i"),
+                        (F.get(middle, j) + mean["j"]).alias("media_j"), (F.get("s", at) / n - mean["i"] * mean["j"]).alias("cov"))
+
+
 def mode_map(df: DataFrame, key: str, value: str, entity: str | None = None) -> DataFrame:
     """Most frequent value per key; with `entity`, only entities seen under exactly one key are counted."""
     rows = df.filter((F.trim(F.col(value)) != "") & F.col(key).isNotNull())

@@ -95,3 +95,16 @@ def test_words_found_in_one_pass(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.words_found("t", listed).alias("f"))
     got = df.select("t", *[text.any_found("f", listed, [w, "zz"]).alias(f"w{k}") for k, w in enumerate(listed)]).collect()
     assert all(r[f"w{k}"] == (None if r["t"] is None else w in r["t"]) for r in got for k, w in enumerate(listed))
+
+
+def test_keys_that_are_data_stay_in_a_map(spark):
+    """100,000 different keys: numbered ones and rare ones are kept in a map, frequent ones become columns."""
+    numbered = spark.range(50000).select("id", F.concat(F.lit('{"a": "x", "b": [{"c": 1}], "id_'), F.col("id").cast("string"), F.lit('": "v"}')).alias("data"))
+    words = spark.range(50000, 100000).select("id", F.concat(F.lit('{"a": "y", "'), F.translate(F.col("id").cast("string"), "0123456789", "qwertyuiop"), F.lit('": "w"}')).alias("data"))
+    out = jsonx.expand_dynamic(numbered.unionByName(words), "data", most=20)
+    assert len(out.columns) <= 1 + 20 + 1 and {"id", "a", "b_c", "otros"} <= set(out.columns)
+    plain = [c for c in out.columns if c not in ("id", "a", "b_c", "otros")]
+    kept = out.select(F.sum(F.size("otros")).alias("rest"), *[F.count(c).alias(c) for c in plain], F.count("a").alias("a"), F.count("b_c").alias("b_c")).first()
+    assert kept["rest"] + sum(kept[c] for c in plain) == 100000 and kept["a"] == 100000 and kept["b_c"] == 50000
+    few = jsonx.expand_dynamic(numbered.limit(50), "data")
+    assert "otros" not in few.columns and len(few.columns) == 1 + 2 + 50

@@ -3,11 +3,12 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from matchloom.operators import joins, quality, ranges, ranking, resolve
+from matchloom.operators import aggregates, joins, quality, ranges, ranking, resolve
 from matchloom.plans import questions, routing, views
 
 
@@ -154,6 +155,76 @@ def test_versus_pairs(spark):
     assert got == asked
 
 
+def test_names_in_one_pattern_equal_the_join(spark):
+    """Names within names, names that begin alike, signs of patterns, and texts without any."""
+    names = ["sporting", "sporting cristal", "cristal", "stal", "a.c*", "(x)+", "árbol", "boys boys", "1", "11", "111"]
+    texts = ["Sporting Cristal 2020", "sport", "a.c* y (x)+ abc", "ÁRBOL boys boys boys", "1111", "", None, "sporting sporting cristal"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, q string")
+    known = spark.createDataFrame([(n,) for n in names], "nombre string")
+    want = {i: sorted((n for n in names if n in (t or "").lower()), key=lambda n: (-len(n), n)) for i, t in enumerate(texts)}
+    for most in (100, 3):
+        found = resolve.with_offers(df, known, "q", shortest=1, most=most)
+        assert {r.i: list(r._offers or []) for r in found.collect()} == want
+    assert [r._offers or [] for r in resolve.with_offers(df, known.limit(0), "q").collect()] == [[]] * len(texts)
+
+
+def test_players_named_by_words(spark):
+    names = spark.createDataFrame([("Juan Carlos Pérez",), ("Luis Gómez",), ("Al Bo",)], "nombre string")
+    asked = ["juan pérez", "pérez luis", "gómez", "al", "zz", "juan de la carlos", " "]
+    df = spark.createDataFrame([(a,) for a in [*asked, None]], "p string")
+    assert {r.p for r in resolve.named_by_words(df, names, "p").collect()} == {"juan pérez", "gómez", "al", "juan de la carlos"}
+
+
+def test_questions_are_routed_from_their_text(spark):
+    teams = spark.createDataFrame([("alianza lima",), ("universitario",)], "nombre string")
+    players = spark.createDataFrame([("Paolo Guerrero",), ("Alex Valera",)], "nombre string")
+    asked = {
+        "compara alianza lima vs universitario en 2023": ("vs", "universitario", "alianza lima", "universitario", ["vs_equipos", "vs_detalle_estadisticas", "partido_rival"]),
+        "compara aliza lima vs universitarix": ("vs", "alianza lima", "universitario", None, ["vs_equipos", "vs_detalle_estadisticas"]),
+        "Paolo Guerrero vs Alex Valera": ("vs", "paolo guerrero", "alex valera", None, ["vs_jugadores"]),
+        "Juan Reynoso vs Guillermo Salas": ("vs", "juan reynoso", "guillermo salas", None, ["vs_entrenadores"]),
+        "entrenador Reynoso vs Salas": ("vs_entrenadores", "entrenador reynoso", "salas", None, ["vs_entrenadores"]),
+        "resultado del partido entre melgar y alianza lima": ("partido_rival", "melgar", "alianza lima", "alianza lima", ["partido_rival"]),
+        "¿vs?": ("tabla_posiciones", None, None, None, ["tabla_posiciones"]),
+        "plantel de Alianza Lima": ("plantilla_equipo", None, None, "alianza lima", ["plantilla_equipo"]),
+        None: ("tabla_posiciones", None, None, None, ["tabla_posiciones"]),
+    }
+    df = spark.createDataFrame([(q,) for q in [*asked, "Paolo Guerrero vs Alex Valera"]], "q string")
+    out = routing.route_questions(df, "q", teams, players, this_year=F.lit(2024)).collect()
+    assert len(out) == len(asked) + 1
+    assert {r.q: (r.ruta, r.entidad_a, r.entidad_b, r.equipo, list(r.objetivos)) for r in out} == asked
+
+
+def test_no_shuffle_of_routing_carries_the_text(spark):
+    df = spark.range(100).select("id", F.concat(F.lit("compara uno vs dos "), F.col("id").cast("string")).alias("q")).withColumn("q", F.concat("q", F.lit(" en 2023")))
+    out = routing.route_questions(df, "q", spark.createDataFrame([("alianza lima",)], "nombre string"), this_year=F.lit(2024)).select("id", "ruta", "entidad_a")
+    plan = out._jdf.queryExecution().optimizedPlan()
+    joins = [plan]
+    while joins:
+        node = joins.pop()
+        if node.nodeName() == "Join":
+            assert "q" not in [node.left().output().apply(i).name() for i in range(node.left().output().size())]
+        joins += [node.children().apply(i) for i in range(node.children().size())]
+
+
+def test_covariances_of_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k), (rng.normal(size=5) + 1e6).tolist()) for k in rng.integers(0, 3, 300)]
+    extra = [(0, None), (1, [1.0, None, 2.0, 3.0, 4.0]), (2, [1.0]), (2, []), (1, [float("nan")] * 5)]
+    df = spark.createDataFrame(rows + extra + [(None, rows[0][1])], "k int, v array<double>").repartition(7)
+    got = {(r.k, r.i, r.j): r for r in aggregates.covariances_of_vectors(df, "k", "v").collect()}
+    assert len(got) == 4 * 15
+    for k in range(3):
+        x = np.array([v for g, v in rows if g == k])
+        c = np.cov(x.T, bias=True)
+        for i in range(5):
+            for j in range(i, 5):
+                r = got[k, i, j]
+                assert r.n == len(x) and abs(r.cov - c[i, j]) < 1e-9 and abs(r.media_i - x[:, i].mean()) < 1e-6
+    assert got[None, 0, 0].n == 1 and abs(got[None, 0, 0].cov) < 1e-9
+    assert aggregates.covariances_of_vectors(df.limit(0), "k", "v").collect() == []
+
+
 def test_url_rules(spark):
     df = spark.createDataFrame([(u,) for u in ["", None, "http://x/default.jpg", "ok.jpg?1", "gone.jpg?1", "moved.jpg?1", "odd.jpg?1", "new.jpg?1"]], "foto_url string")
     status = spark.createDataFrame([("ok.jpg?1", 200), ("gone.jpg?1", 404), ("gone.JPG?1", 404), ("moved.jpg?1", 404), ("moved.JPG?1", 200), ("odd.jpg?1", 503)], "url string, status int")
