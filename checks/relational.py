@@ -247,7 +247,9 @@ def _(s, sf):
     path = scratch_dir(s)
     bad = table(s, sf, "customer").filter("c_acctbal < 0").select("c_custkey", "c_name")
     records = QA.reject_records(bad, "clientes", "UDV", "SALDO", "HISTORICO", None, 7)
-    writers.append_rejects(records, path)
+    lost = writers.append_rejects(records, path)
+    if lost:
+        raise lost
     return readers.read_parquet(s, path)
 
 

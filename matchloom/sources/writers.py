@@ -210,14 +210,13 @@ def replace_by_key_into(path: str, batch: DataFrame, keys: Sequence[str], by: Se
     _replace_partitions(batch.sparkSession, path, batch, by, lambda old: replace_by_key(old, batch, keys))
 
 
-def append_rejects(records: DataFrame, path: str) -> bool:
-    """Appends reject or metric rows; a failure here must not stop a load."""
+def append_rejects(records: DataFrame, path: str) -> Exception | None:
+    """Appends reject or metric rows. A failure must not stop a load, so it is returned, for the caller to report; None if written."""
     try:
         records.write.mode("append").option("mergeSchema", True).parquet(path)
-        return True
     except Exception as error:  # noqa: BLE001 - quality output never blocks a load
-        print(f"quality rows not written to {path}: {error}")
-        return False
+        return error
+    return None
 
 
 def export_csv(tables: dict[str, DataFrame], path: str, one_file: bool = False) -> list[str]:

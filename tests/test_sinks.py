@@ -138,3 +138,10 @@ def test_stream_run_twice_over_a_growing_folder(spark, folder):
     assert rows(spark.read.parquet(out).select("k", "v", "t")) == [(1, 10, 2), (2, 2, 1), (4, 4, 2)]
     assert spark.read.parquet(f"{folder}/rej").count() == 1
     assert spark.read.parquet(f"{folder}/met").agg(F.sum("registros_entrada")).first()[0] == 5
+
+
+def test_lost_quality_rows_are_reported(spark, tmp_path):
+    rows = spark.range(3)
+    (tmp_path / "file").write_text("x")
+    assert writers.append_rejects(rows, str(tmp_path / "ok")) is None and spark.read.parquet(str(tmp_path / "ok")).count() == 3
+    assert isinstance(writers.append_rejects(rows, str(tmp_path / "file" / "below")), Exception)
