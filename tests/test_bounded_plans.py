@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import league
 from matchloom.functions import text
 from matchloom.plans import gold, scoring, silver
 
@@ -78,3 +79,10 @@ def test_profiles_of_the_own_team_come_first(spark, shuffled):
     out = scoring.player_features(stats, squads, 1).collect()
     found = sorted((r["id_jugador"], r["id_equipo"] or 0, r["pie"], r["altura"]) for r in out)
     assert found == [("p1", 1, "left", 1.8), ("p1", 2, None, 1.7), ("p1", 9, None, 1.7), ("p2", 0, "right", 1.6), ("p3", 1, None, 1.7)]
+
+
+def test_lines_become_texts_in_tasks_of_bounded_size(spark, folder, monkeypatch):
+    monkeypatch.setattr(league, "LINES_A_TASK", 10)
+    spark.range(95).select(F.col("id").alias("l_partkey"), (F.col("id") % 3).alias("l_suppkey")).write.parquet(f"{folder}/lineitem.parquet")
+    dealt = league.League(spark, folder).lines("l_partkey", "l_suppkey")
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.count() == 95
