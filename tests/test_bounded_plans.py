@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from checks import league
 from matchloom.functions import text
-from matchloom.plans import gold, scoring, silver
+from matchloom.operators import ranking
+from matchloom.plans import gold, scoring, silver, views
 
 HEX = "0a" * 32
 
@@ -86,3 +87,19 @@ def test_lines_become_texts_in_tasks_of_bounded_size(spark, folder, monkeypatch)
     spark.range(95).select(F.col("id").alias("l_partkey"), (F.col("id") % 3).alias("l_suppkey")).write.parquet(f"{folder}/lineitem.parquet")
     dealt = league.League(spark, folder).lines("l_partkey", "l_suppkey")
     assert dealt.rdd.getNumPartitions() == 10 and dealt.count() == 95
+
+
+def test_players_are_ranked_before_they_are_repeated_for_formations(spark, shuffled):
+    rows = [(f"p{i}", 1 + i % 2, 2020, "DFC", float(i % 5)) for i in range(14)] + [("q", 1, 2020, "POR", None), ("r", 1, 2020, None, 1.0)]
+    players = spark.createDataFrame(rows, "id_jugador string, id_equipo int, temporada int, posicion_xi string, score_100 double")
+    seated = views._seated(players, [("score_100", "desc"), ("id_jugador", "asc")])
+    slots = ranking.number_slots(views.formation_slots(spark)).collect()
+    expected = []
+    for team in (1, 2):
+        for code in ("DFC", "POR"):
+            here = sorted((r for r in rows if r[1] == team and r[3] == code), key=lambda r: (-(r[4] or 0.0), r[0]))
+            expected += [(s["id_formacion"], s["slot"], team, here[s["slot_rank"] - 1][0]) for s in slots if s["posicion_xi"] == code and s["slot_rank"] <= len(here)]
+    assert sorted((r["id_formacion"], r["slot"], r["id_equipo"], r["id_jugador"]) for r in seated.collect()) == sorted(expected) and len(expected) > 20
+    plan = seated._jdf.queryExecution().optimizedPlan().toString()
+    # The formations come in by one join, above the ranks.
+    assert plan.count("Join") == 1 and plan.index("Join") < plan.index("dense_rank")
