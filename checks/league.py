@@ -85,8 +85,9 @@ class League:
 
     @cached_property
     def match_base(self) -> DataFrame:
-        return self.table("orders").join(self.match_lines, F.col("o_orderkey") == F.col("l_orderkey")).withColumn(
-            "season", F.year("o_orderdate"))
+        """Stored, as matches, their statistics, teams and coaches are all read from it: line items are counted once."""
+        return self.stored("match_base", lambda: self.table("orders").join(
+            self.match_lines, F.col("o_orderkey") == F.col("l_orderkey")).withColumn("season", F.year("o_orderdate")))
 
     @staticmethod
     def _score() -> Column:
