@@ -40,18 +40,20 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 class League:
-    """Each layer reads the written tables of the layer before, as in a scheduled load."""
+    """Each layer reads the written tables of the layer before, as in a scheduled load. Hashed keys take up half of a table and
+    do not compress; one that follows from other columns or that no later table reads is not written."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
         self.as_of = F.lit(AS_OF).cast("timestamp")
 
-    def stored(self, name: str, build) -> DataFrame:
-        """The table `name`, written on first use; histories and facts are partitioned by season."""
+    def stored(self, name: str, build, seasons: bool = True) -> DataFrame:
+        """The table `name`, written on first use; histories and facts are partitioned by season. Tables of which only whole ones
+        are built (`seasons` false) keep the order of their rows, in which a player's rows lie side by side."""
         key = (self.spark.sparkContext.applicationId, self.sf, name)
         if key not in _WRITTEN:
             path, df = scratch_dir(self.spark), build()
-            by = ["temporada"] if "temporada" in df.columns else []
+            by = ["temporada"] if seasons and "temporada" in df.columns else []
             # No exchange by season ahead of the write: seasons are few, and each task cuts its rows by season.
             df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
             _WRITTEN[key] = path
@@ -395,7 +397,7 @@ class League:
 
     @cached_property
     def tb_squads(self) -> DataFrame:
-        return self.stored("squads", lambda: self.squads_split[0])
+        return self.stored("squads", lambda: self.squads_split[0], seasons=False)
 
     @cached_property
     def tb_coaches(self) -> DataFrame:
@@ -423,7 +425,7 @@ class League:
 
     @cached_property
     def tb_player_stats(self) -> DataFrame:
-        return self.stored("player_stats", lambda: self.player_stats_split[0])
+        return self.stored("player_stats", lambda: self.player_stats_split[0].drop("id_estadistica_jugador"), seasons=False)
 
     @cached_property
     def tb_dim(self) -> DataFrame:
@@ -455,7 +457,7 @@ class League:
 
     @cached_property
     def tb_player_season_stats(self) -> DataFrame:
-        return self.stored("player_season_stats", lambda: self.player_season_stats)
+        return gold.with_season_key(self.stored("player_season_stats", lambda: self.player_season_stats.drop("id_estadistica_jugador")))
 
     @cached_property
     def tb_simple_score(self) -> DataFrame:

@@ -106,6 +106,11 @@ def value_history(values: DataFrame, dim: DataFrame, as_of: Column | None = None
         "edad_promedio", "extranjeros", "valor_medio", "valor_total", _now(as_of).alias("fecha_carga"), "periodo")
 
 
+def with_season_key(df: DataFrame) -> DataFrame:
+    """Season statistics with their hashed key, which follows from the player, team and season of the row."""
+    return df.select(text.surrogate_key("id_jugador", "id_equipo", "temporada").alias("id_estadistica_jugador"), *df.columns)
+
+
 def player_season_stats(stats: DataFrame, players: DataFrame, squads: DataFrame, dim: DataFrame,
                         as_of: Column | None = None) -> DataFrame:
     """Totals of all competitions per player, team and season."""
@@ -125,10 +130,9 @@ def player_season_stats(stats: DataFrame, players: DataFrame, squads: DataFrame,
     joined = joined.withColumn("id_jugador", text.unpacked_key("id_jugador"))
     whole = [*aggregates.PLAYER_MEASURES, "goles"]
     typed = joined.select(*[F.col(c).cast("int").alias(c) if c in whole else F.col(c) for c in joined.columns])
-    return typed.select(
-        text.surrogate_key("id_jugador", "id_equipo", "temporada").alias("id_estadistica_jugador"), "id_jugador", "id_tm",
-        "jugador", "foto_url", "id_equipo", "nombre_equipo", "alias_equipo", "temporada", "partidos_jugados", "titularidades",
+    return with_season_key(typed.select(
+        "id_jugador", "id_tm", "jugador", "foto_url", "id_equipo", "nombre_equipo", "alias_equipo", "temporada", "partidos_jugados", "titularidades",
         "ppp", "goles", "asistencias", "tarjetas_amarillas", "tarjeta_amarilla_roja", "tarjetas_rojas", "entrada_suplente",
         "salida_suplente", "goles_en_contra", "partidos_imbatido",
         measures.minutes_per_goal("minutos_jugados", "goles").alias("min_por_gol"), "minutos_jugados", "datos_disponibles",
-        "posicion", "nacionalidad_principal", _now(as_of).alias("fecha_carga"), "periodo")
+        "posicion", "nacionalidad_principal", _now(as_of).alias("fecha_carga"), "periodo"))

@@ -132,8 +132,11 @@ def players(raw: DataFrame, countries: DataFrame | None = None, as_of: Column |
 def squads(raw: DataFrame, catalog: DataFrame, players_dim: DataFrame, positions: DataFrame | None = None,
            as_of: Column | None = None) -> Split:
     columns = ["club", "temporada", "jugador", "numero", "posicion", "fecha_fichaje", "fuente", "id_tm"]
-    rows = one_per(shape.select_or_null(raw, [*columns, *_optional(raw, "fecha_carga")]),
-                   ["club", "temporada", "jugador", "numero"], [("fecha_carga", "desc")])
+    # Rows of a name move together: they are alike, so they compress well side by side. Rows without a name go by their club.
+    near = F.coalesce(F.nullif(F.trim("jugador"), F.lit("")), "club")
+    given = _by_row(shape.select_or_null(raw, [*columns, *_optional(raw, "fecha_carga")])).withColumn("_near", near).repartition("_near")
+    latest = [("fecha_carga", "desc")] if "fecha_carga" in given.columns else []
+    rows = ranking.top_row_per_key(given, ["_near", "jugador", "club", "temporada", "numero"], [*latest, ("_tie", "asc")])
     with_id, no_team = with_team(rows.select(*columns), catalog)
     # Players meet by the text under the hash, a fraction of its size.
     keyed = with_id.withColumn("_pk", text.player_word("id_tm", "jugador"))
@@ -156,7 +159,8 @@ def squads(raw: DataFrame, catalog: DataFrame, players_dim: DataFrame, positions
             text.default_if_placeholder("numero").alias("numero_camiseta"), text.title("posicion").alias("posicion"),
             F.col("_dated").alias("fecha_fichaje"), F.col("fuente").alias("fuente_plantilla"),
             _now(as_of).alias("fecha_carga"), season.alias("periodo"), "_pk")
-        return ranking.top_row_per_key(table, ["id_equipo", person, "temporada"],
+        # By person first: rows of a player stay side by side, so that their long key is stored and moved once.
+        return ranking.top_row_per_key(table, [person, "id_equipo", "temporada"],
                                        [("id_plantilla_equipo", "asc"), ("numero_camiseta", "asc")]).drop("_pk")
 
     # Rows of a player with one text already lie together after the join; only players of several texts move again.

@@ -103,3 +103,28 @@ def test_players_are_ranked_before_they_are_repeated_for_formations(spark, shuff
     plan = seated._jdf.queryExecution().optimizedPlan().toString()
     # The formations come in by one join, above the ranks.
     assert plan.count("Join") == 1 and plan.index("Join") < plan.index("dense_rank")
+
+
+def test_squad_rows_of_a_name_move_together_and_nameless_ones_by_club(spark, shuffled):
+    raw, catalog, players = squad_rows(spark)
+    blank = [("Club A", "2020", None, "1"), ("Club A", "2020", None, "1"), ("Club A", "2020", "", "1"), ("Club B", "2020", None, "1"), (None, "2020", None, "1")]
+    blank = spark.createDataFrame(blank, "club string, temporada string, jugador string, numero string")
+    raw = raw.unionByName(raw).unionByName(blank, allowMissingColumns=True)
+    ok, rejects = silver.squads(raw, catalog, players, None, F.lit("2024-01-01").cast("timestamp"))
+    plan = ok._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_near" in plan and "hashpartitioning(club" not in plan
+    assert sorted((r["id_equipo"], r["id_jugador"], r["numero_camiseta"]) for r in ok.collect()) == [(1, "p1", "8"), (1, "p2", "6"), (2, "p1", "9")]
+    nameless = [(r["club"], r["jugador"], r["razon_rechazo"]) for r in rejects.collect() if not r["jugador"]]
+    assert len(nameless) == 4 and set(nameless) == {
+        (None, None, "SIN_MATCH_CATALOGO"), ("Club A", "", "SIN_MATCH_DIMENSION"), ("Club A", None, "SIN_MATCH_DIMENSION"), ("Club B", None, "SIN_MATCH_DIMENSION")}
+
+
+def test_whole_tables_keep_their_order_and_keys_that_follow_are_not_written(spark, folder):
+    rows = spark.createDataFrame([("a", 1, 2020), ("a", 1, 2021), ("b", None, 2020), (None, 2, None)], "id_jugador string, id_equipo int, temporada int").coalesce(1)
+    tables = league.League(spark, folder)
+    whole, cut = tables.stored("whole", lambda: rows, seasons=False), tables.stored("cut", lambda: rows)
+    assert len(whole.inputFiles()) == 1 and whole.collect() == rows.collect()
+    assert len(cut.inputFiles()) == 3 and all("temporada=" in f for f in cut.inputFiles())
+    keyed = {(r["id_jugador"], r["id_equipo"], r["temporada"]): r["id_estadistica_jugador"] for r in gold.with_season_key(cut).collect()}
+    expected = rows.withColumn("k", text.surrogate_key("id_jugador", "id_equipo", "temporada"))
+    assert keyed == {(r["id_jugador"], r["id_equipo"], r["temporada"]): r["k"] for r in expected.collect()}
