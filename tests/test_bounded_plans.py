@@ -128,3 +128,16 @@ def test_whole_tables_keep_their_order_and_keys_that_follow_are_not_written(spar
     keyed = {(r["id_jugador"], r["id_equipo"], r["temporada"]): r["id_estadistica_jugador"] for r in gold.with_season_key(cut).collect()}
     expected = rows.withColumn("k", text.surrogate_key("id_jugador", "id_equipo", "temporada"))
     assert keyed == {(r["id_jugador"], r["id_equipo"], r["temporada"]): r["k"] for r in expected.collect()}
+
+
+def test_scores_need_no_key_of_statistics_and_no_written_history(spark, folder, monkeypatch):
+    """The hashed key of the statistics neither moves with them nor is stored with their features."""
+    seen = []
+    monkeypatch.setattr(scoring, "component_scores", lambda rows, **_: seen.append(rows.columns) or rows)
+    monkeypatch.setattr(scoring, "cluster_levels", lambda rows, **_: rows.withColumn("score_ml", F.lit(1.0)))
+    monkeypatch.setattr(scoring, "score_rows", lambda rows, as_of=None: rows)
+    squads = spark.createDataFrame([("p1", 2020, 1, "b", "left", 1.8, "Portero")], "id_jugador string, temporada int, id_equipo int, id_plantilla_equipo string, pie string, altura double, posicion string")
+    stats = spark.createDataFrame([("p1", 2020, 1, HEX)], "id_jugador string, temporada int, id_equipo int, id_estadistica_jugador string")
+    stats = stats.withColumns({c: F.lit(1) for parts, _ in scoring.RATES.values() for c in parts}).withColumn("minutos_jugados", F.lit(900))
+    assert [r["id_jugador"] for r in scoring.score_players(stats, squads).collect()] == ["p1"]
+    assert "id_jugador" in seen[0] and "id_estadistica_jugador" not in seen[0]
