@@ -101,20 +101,31 @@ KEEPER_LAYOUT = {
 
 
 def layout_by_arity(df: DataFrame, cells: str) -> DataFrame:
-    """Named statistics from a cell list whose layout depends on its length."""
-    def read(layout: dict) -> list[Column]:
+    """Named statistics from a cell list whose layout depends on its length.
+
+    The fields are read inside array functions: as plain columns they, and the filter with whatever the cells are made of, become one
+    generated method too long for the JVM to compile, which then takes several times as long."""
+    def read(c: Column, layout: dict) -> list[Column]:
         out = []
         for name, at in layout.items():
             parse = text.stat_decimal if name == "ppp" else text.stat_int
             zero = F.lit(0.0) if name == "ppp" else F.lit(0)
-            out.append((zero if at is None else parse(F.get(cells, F.lit(at)))).alias(name))
+            out.append((zero if at is None else parse(F.get(c, F.lit(at)))).alias(name))
         return out
 
-    contest = F.trim(F.get(cells, F.lit(1)))
-    usable = df.filter((F.size(cells) >= 3) & (contest != "") & ~contest.rlike(r"^\d+$") & ~contest.contains("/"))
-    chosen = F.when(F.size(cells) == KEEPER_CELLS, F.struct(*read(KEEPER_LAYOUT))).otherwise(F.struct(*read(FIELD_LAYOUT)))
+    def contest(c: Column) -> Column:
+        return F.trim(F.get(c, F.lit(1)))
+
+    def usable(c: Column) -> Column:
+        return (F.size(c) >= 3) & (contest(c) != "") & ~contest(c).rlike(r"^\d+$") & ~contest(c).contains("/")
+
+    def named(c: Column) -> Column:
+        head = contest(c).alias("competencia")
+        return F.when(F.size(c) == KEEPER_CELLS, F.struct(head, *read(c, KEEPER_LAYOUT))).otherwise(F.struct(head, *read(c, FIELD_LAYOUT)))
+
     keep = [F.col(f"`{x}`") for x in df.columns if x != cells]
-    return usable.select(*keep, contest.alias("competencia"), chosen.alias("_s")).select(*keep, "competencia", "_s.*")
+    found = F.transform(F.filter(F.array(F.col(cells)), usable), named)
+    return df.select(*keep, F.explode(found).alias("_s")).select(*keep, "_s.*")
 
 
 def classify_cells(df: DataFrame, cells: str, value: str | None = None, flags: str | None = None) -> DataFrame:

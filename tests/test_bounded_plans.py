@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import league
 from matchloom.functions import text
-from matchloom.operators import ranking
+from matchloom.operators import parsing, ranking
 from matchloom.plans import gold, scoring, silver, views
 
 HEX = "0a" * 32
@@ -141,3 +141,15 @@ def test_scores_need_no_key_of_statistics_and_no_written_history(spark, folder,
     stats = stats.withColumns({c: F.lit(1) for parts, _ in scoring.RATES.values() for c in parts}).withColumn("minutos_jugados", F.lit(900))
     assert [r["id_jugador"] for r in scoring.score_players(stats, squads).collect()] == ["p1"]
     assert "id_jugador" in seen[0] and "id_estadistica_jugador" not in seen[0]
+
+
+def test_cell_lists_are_made_once_and_read_by_their_length(spark):
+    cells = {15: ["", " Liga ", "30", "4", "1,5", "5", "6", "-", "8", "9", "10", "11", "12", "13", "1.014'"]}
+    cells[16] = [*cells[15], "2,215"]
+    rows = [(1, cells[15]), (2, cells[16]), (3, ["", "Copa", "7"]), (4, ["", "Copa"]), (5, ["", "12", "7"]), (6, ["", "1/2", "7"]), (7, ["", "", "7"]), (8, ["", None, "7"]), (9, None), (10, [])]
+    df = spark.createDataFrame(rows, "id int, raw array<string>").select("id", F.array_append("raw", F.lit("hecho")).alias("c")).select("id", F.slice("c", 1, F.greatest(F.size("c") - 1, F.lit(0))).alias("c"))
+    out = parsing.layout_by_arity(df, "c")
+    found = {r["id"]: (r["competencia"], r["partidos_jugados"], r["ppp"], r["goles"], r["goles_en_contra"], r["minutos_jugados"]) for r in out.collect()}
+    assert found == {1: ("Liga", 30, 1.5, 0, 12, 1014), 2: ("Liga", 30, 1.5, 5, 0, 2215), 3: ("Copa", 7, 0.0, 0, 0, 0)}
+    # What the cells are made of stands in the plan once: a filter with copies of it made a method too long to compile.
+    assert out._jdf.queryExecution().executedPlan().toString().count("hecho") == 1
