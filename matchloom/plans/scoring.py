@@ -117,65 +117,151 @@ def component_scores(features: DataFrame, group: str = "posicion_xi",
 
 
 UNIT = 1_000_000  # standardised features are whole millionths, so that sums over rows are exact
+MOST_OPEN = 20_000
 
 
-def _centres(rows: DataFrame, group: str, k: int, sizes: Mapping[str, int], most_rounds: int) -> dict[str, list[list[int]]]:
-    """Centres of each group's clusters: Lloyd rounds for all groups together, one job each, until no centre moves.
+def _centres(rows: DataFrame, group: str, k: int, sizes: Mapping[str, int], most_rounds: int, most_open: int) -> dict[str, list[list[int]]]:
+    """Centres of each group's clusters: Lloyd rounds for all groups together until no centre moves, as many as can be told in each pass.
 
     The first centres are the means of k equal parts of the group in the order of (score, hash of the features). Means of whole numbers are
     rounded halves up, so nothing depends on the order or the place of the rows."""
     width = max((len(r["_q"]) for r in rows.select("_q").groupBy(F.size("_q")).agg(F.first("_q").alias("_q")).collect()), default=0)
     sums = [F.sum(F.get("_q", F.lit(i)).cast("decimal(18,0)")).alias(f"s{i}") for i in range(width)]
 
-    def means(parts: DataFrame) -> dict[tuple, list[int]]:
-        out = {}
-        for r in parts.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("n"), *sums).collect():
-            out[r[group], r["_part"]] = [int((2 * int(r[f"s{i}"]) + r["n"]) // (2 * r["n"])) for i in range(width) if r[f"s{i}"] is not None]
-        return out
+    def total(r) -> list[int]:
+        return [int(r[f"s{i}"]) for i in range(width) if r[f"s{i}"] is not None]
 
     place = F.struct(F.col("_score").alias("s"), F.xxhash64("_q").alias("h"))
     ranked = ranking.rank_table(rows.select(group, "_score", F.xxhash64("_q").alias("_h")), [group], [("_score", "asc"), ("_h", "asc")], "_rank")
     begins = rows.sparkSession.createDataFrame([(g, j, -(-j * n // k) + 1) for g, n in sizes.items() for j in range(1, k)], "_g string, _j int, _r int")
     cuts = ranked.join(F.broadcast(begins), (F.col(group) == F.col("_g")) & (F.col("_rank") == F.col("_r"))).groupBy("_g").agg(F.collect_list(F.struct(F.col("_score").alias("s"), F.col("_h").alias("h"))).alias("_cuts"))
     cut = rows.join(F.broadcast(stored(cuts)), F.col(group) == F.col("_g"))
-    first = means(cut.withColumn("_part", F.size(F.filter("_cuts", lambda c: c <= place))))
+    parts = cut.withColumn("_part", F.size(F.filter("_cuts", lambda c: c <= place))).groupBy(group, "_part").agg(F.count(F.lit(1)).alias("n"), *sums)
+    first = {(r[group], r["_part"]): _mean(r["n"], total(r)) for r in parts.collect()}
     centres = {g: [first[g, j] for j in range(k) if (g, j) in first] for g in sizes}
-    for _ in range(most_rounds):
-        moved = means(_nearest(rows, group, centres))
-        after = {g: [moved.get((g, j), old) for j, old in enumerate(cs)] for g, cs in centres.items()}
-        if after == centres:
-            break
-        centres = after
+    left = dict.fromkeys(sizes, most_rounds)
+    while still := {g: centres[g] for g in sizes if left[g] > 0}:
+        # One pass over all rows: sums by cluster, and how many rows lie how near to the border between two clusters.
+        seen = _nearest(rows, group, still).withColumn("_ring", _ring())
+        counted: dict[str, list] = {g: [] for g in still}
+        for r in seen.groupBy(group, "_part", "_ring").agg(F.count(F.lit(1)).alias("n"), *sums).collect():
+            counted[r[group]].append((r["_ring"], r["_part"], r["n"], total(r)))
+        going = {}
+        for g, old in still.items():
+            n, s, near = [0] * len(old), [[0] * len(c) for c in old], 0
+            for _, j, m, t in counted[g]:
+                n[j], s[j] = n[j] + m, [a + b for a, b in zip(s[j], t)]
+            centres[g] = [_mean(m, t) if m else c for m, t, c in zip(n, s, old)]
+            left[g] = left[g] - 1 if centres[g] != old else 0
+            rings: dict[int, int] = {}
+            for ring, _, m, _ in counted[g]:
+                rings[ring] = rings.get(ring, 0) + m
+            ring = RINGS
+            for at in sorted(rings):
+                near += rings[at]
+                if near > most_open:
+                    ring = at
+                    break
+            # Rows of this ring and beyond keep their cluster until a centre has moved by half of the ring's inner distance.
+            clear = float("inf") if ring == RINGS else 2 ** (ring / 4) * (1 - 1e-9)
+            if left[g] and 2 * _moved(old, centres[g]) < clear:
+                going[g] = (ring, clear, old, centres[g], n, s, left[g])
+        if going:
+            for r in _go_on(seen, group, going).collect():
+                centres[r[group]], left[r[group]] = [list(c) for c in r["_c"]], r["_left"]
     return centres
 
 
+def _mean(n: int, s: Sequence[int]) -> list[int]:
+    return [(2 * t + n) // (2 * n) for t in s]
+
+
+def _moved(before: Sequence[Sequence[int]], after: Sequence[Sequence[int]]) -> float:
+    """The longest way of a centre."""
+    return max(sum(float(a - b) ** 2 for a, b in zip(c, d)) ** 0.5 for c, d in zip(before, after))
+
+
+# Rings of a quarter of a power of two of `_margin`.
+RINGS = 240
+
+
+def _ring() -> Column:
+    return F.floor(F.log2(F.greatest(F.lit(1.0), F.least(F.lit(1e18), F.col("_margin")))) * 4).cast("int")
+
+
+def _go_on(seen: DataFrame, group: str, going: Mapping[str, tuple]) -> DataFrame:
+    """Further rounds of groups of which few rows are near a border: one task a group takes these rows only, adds the sums of all
+    others, and stops when a centre has moved so far that others could change."""
+    inner = seen.sparkSession.createDataFrame([(g, state[0]) for g, state in going.items()], "_g string, _inner int")
+    near = seen.join(F.broadcast(inner), F.col(group) == F.col("_g")).filter("_ring < _inner").select(group, "_q", "_part")
+
+    def rounds(key, pdf):
+        _, clear, base, centre, n, s, left = going[key[0]]
+        k, width = len(base), len(base[0])
+        q = np.array(pdf["_q"].tolist(), dtype="int64").reshape(len(pdf), width)
+
+        def sums(part):
+            """Rows and sums by cluster; halves of the numbers are added up apart, so that none overflows."""
+            m, t = [], []
+            for j in range(k):
+                mine = q[part == j]
+                m.append(len(mine))
+                t.append([(int(h) << 20) + int(l) for h, l in zip((mine >> 20).sum(axis=0), (mine & 0xFFFFF).sum(axis=0))])
+            return m, t
+
+        m, t = sums(pdf["_part"].to_numpy())
+        rest_n = [a - b for a, b in zip(n, m)]
+        rest_s = [[x - y for x, y in zip(a, b)] for a, b in zip(s, t)]
+        while left > 0 and 2 * max(sum(float(a - b) ** 2 for a, b in zip(c, d)) ** 0.5 for c, d in zip(base, centre)) < clear:
+            far = np.zeros((k, len(q)))
+            for j in range(k):
+                for i in range(width):  # added up in the order of the features, as in `_nearest`
+                    apart = (q[:, i] - centre[j][i]).astype("float64")
+                    far[j] += apart * apart
+            m, t = sums(far.argmin(axis=0))
+            after = []
+            for j in range(k):
+                of = rest_n[j] + m[j]
+                after.append([(2 * (a + b) + of) // (2 * of) for a, b in zip(rest_s[j], t[j])] if of else centre[j])
+            left = left - 1 if after != centre else 0
+            centre = after
+        return pd.DataFrame({group: [key[0]], "_c": [centre], "_left": [left]})
+
+    return near.groupBy(group).applyInPandas(rounds, f"{group} string, _c array<array<bigint>>, _left int")
+
+
 def _nearest(rows: DataFrame, group: str, centres: Mapping[str, list[list[int]]]) -> DataFrame:
-    """Column `_part`: the nearest centre of the row's group, the first of equally near ones. There are k centres a configured
-    group, so the broadcast is bounded by the configuration."""
+    """Columns `_part`: the nearest centre of the row's group, the first of equally near ones, and `_margin`: at least how much farther
+    the next one is, less what the rounding of doubles can make. There are k centres a configured group, so the broadcast is bounded by
+    the configuration."""
     spark = rows.sparkSession
     known = spark.createDataFrame(list(centres.items()), "_g string, _c array<array<bigint>>")
 
     def far(c: Column) -> Column:  # doubles, added up in the order of the features
         return F.aggregate(F.zip_with("_q", c, lambda a, b: (a - b).cast("double")), F.lit(0.0), lambda t, d: t + d * d)
 
-    nearest = F.array_min(F.transform("_c", lambda c, j: F.struct(far(c).alias("d"), j.alias("j"))))["j"]
-    return rows.join(F.broadcast(known), F.col(group) == F.col("_g")).withColumn("_part", nearest).drop("_g", "_c")
+    by_distance = F.sort_array(F.transform("_c", lambda c, j: F.struct(far(c).alias("d"), j.alias("j"))))
+    one, two = F.sqrt(F.get("_by", F.lit(0))["d"]), F.sqrt(F.get("_by", F.lit(1))["d"])
+    margin = F.coalesce(two - one - (two + one) * 1e-12 - 1, F.lit(1e18))
+    near = rows.join(F.broadcast(known), F.col(group) == F.col("_g")).withColumn("_by", by_distance)
+    return near.withColumn("_part", F.get("_by", F.lit(0))["j"]).withColumn("_margin", margin).drop("_g", "_c", "_by")
 
 
 def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
                    by_group: Mapping[str, Sequence[str]] = fixed.SCORE_FEATURES, k: int = 4,
-                   score: str = "score_ml", most_rounds: int = 300) -> DataFrame:
+                   score: str = "score_ml", most_rounds: int = 300, most_open: int = MOST_OPEN) -> DataFrame:
     """Clusters each group on its z-scored features and numbers the clusters by mean score, lowest first.
 
     Groups with fewer than 2k rows get no level; one with many equal rows can have fewer than k levels. The levels do not depend
-    on the order or the partitions of the rows. `scored` is read twice: for the features, which are stored, and for the result."""
+    on the order or the partitions of the rows, nor on `most_open`, the rows of a group near a border that one task may take to go on with
+    the rounds. `scored` is read twice: for the features, which are stored, and for the result."""
     whole = F.transform("_z", lambda z: F.round(z * UNIT).cast("bigint"))
     known = F.coalesce(F.col(group).isin(list(by_group)), F.lit(False))
     rows = stored(scored.filter(known & F.col("_z").isNotNull()).select(group, whole.alias("_q"), F.round(F.col(score) * UNIT).cast("bigint").alias("_score")))
     sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect() if r["n"] >= 2 * k}
     inside = F.coalesce(F.col(group).isin(list(sizes)), F.lit(False))
     rows = spread(rows.filter(inside))
-    centres = _centres(rows, group, k, sizes, most_rounds)
+    centres = _centres(rows, group, k, sizes, most_rounds, most_open)
     mean = F.sum(F.col("_score").cast("decimal(18,0)")) / F.count(F.lit(1))
     order = sorted((r[group], r["m"], r["_part"]) for r in _nearest(rows, group, centres).groupBy(group, "_part").agg(mean.alias("m")).collect())
     number: dict[str, list[int | None]] = {g: [None] * len(cs) for g, cs in centres.items()}
@@ -184,7 +270,7 @@ def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
             number[g][j] = i
     names = scored.sparkSession.createDataFrame(list(number.items()), "_g string, _number array<int>")
     placed = _nearest(scored.filter(inside).withColumn("_q", whole), group, centres).join(F.broadcast(names), F.col(group) == F.col("_g"))
-    placed = placed.withColumn("nivel_num", F.get("_number", F.col("_part"))).drop("_g", "_number", "_part", "_q")
+    placed = placed.withColumn("nivel_num", F.get("_number", F.col("_part"))).drop("_g", "_number", "_part", "_margin", "_q")
     rest = scored.filter(~inside).withColumn("nivel_num", F.lit(None).cast("int"))
     return rest.unionByName(placed).withColumn("nivel", text.map_label("nivel_num", dict(enumerate(fixed.LEVELS))))
 
