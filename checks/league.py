@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.plans import gold, scoring, silver, views
-from matchloom.session import dealt, scratch_dir
+from matchloom.session import dealt, scratch_dir, tasks_of
 
 AS_OF = "2024-06-30 00:00:00"
 POSITIONS = ["Goalkeeper", "Centre-Back", "Left-Back", "Right-Back", "Defensive Midfield", "Central Midfield",
@@ -35,6 +35,8 @@ def padded(c: Column) -> Column:
 
 # Line items in a task that turns them into texts.
 LINES_A_TASK = 100_000
+# Squad rows in a task that sorts them.
+SQUAD_ROWS_A_TASK = 400_000
 # Folders of the tables written so far, per application and input.
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -275,7 +277,9 @@ class League:
 
     @cached_property
     def squads_split(self):
-        return silver.squads(self.raw_squads, self.tb_catalog, self.tb_players, None, self.as_of)
+        # A line item makes at most one squad row.
+        tasks = tasks_of(self.table("lineitem").count(), SQUAD_ROWS_A_TASK)
+        return silver.squads(self.raw_squads, self.tb_catalog, self.tb_players, None, self.as_of, tasks)
 
     @cached_property
     def coaches(self) -> DataFrame:

@@ -38,8 +38,8 @@ def _now(as_of: Column | None) -> Column:
     return F.current_timestamp() if as_of is None else as_of
 
 
-def _by_row(df: DataFrame) -> DataFrame:
-    return df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+def _by_row(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    return df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns or df.columns]))
 
 
 def one_per(df: DataFrame, keys: list[str], order: ranking.Order = ()) -> DataFrame:
@@ -130,24 +130,31 @@ def players(raw: DataFrame, countries: DataFrame | None = None, as_of: Column |
 
 
 def squads(raw: DataFrame, catalog: DataFrame, players_dim: DataFrame, positions: DataFrame | None = None,
-           as_of: Column | None = None) -> Split:
+           as_of: Column | None = None, tasks: int | None = None) -> Split:
+    """One row per team, season and player. Rows of a player are alike and compress well, so a task cut by bytes can hold more of them than
+    it can sort in memory: `tasks` deals them to so many tasks, where their number is known."""
     columns = ["club", "temporada", "jugador", "numero", "posicion", "fecha_fichaje", "fuente", "id_tm"]
     # Rows of a name move together: they are alike, so they compress well side by side. Rows without a name go by their club.
     near = F.coalesce(F.nullif(F.trim("jugador"), F.lit("")), "club")
-    given = _by_row(shape.select_or_null(raw, [*columns, *_optional(raw, "fecha_carga")])).withColumn("_near", near).repartition("_near")
+    to = [tasks] if tasks else []
+    given = shape.select_or_null(raw, [*columns, *_optional(raw, "fecha_carga")])
+    # The hash of a row, which does not compress, is added after the move.
+    given = _by_row(given.withColumn("_near", near).repartition(*to, "_near"), given.columns)
     latest = [("fecha_carga", "desc")] if "fecha_carga" in given.columns else []
     rows = ranking.top_row_per_key(given, ["_near", "jugador", "club", "temporada", "numero"], [*latest, ("_tie", "asc")])
     with_id, no_team = with_team(rows.select(*columns), catalog)
     # Players meet by the text under the hash, a fraction of its size.
     keyed = with_id.withColumn("_pk", text.player_word("id_tm", "jugador"))
-    dim = (players_dim.select(text.player_word("id_tm", "jugador").alias("_pd"), "id_jugador")
-           .groupBy("_pd").agg(F.min("id_jugador").alias("id_jugador")))
+    dim = players_dim.select(text.player_word("id_tm", "jugador").alias("_pd"), "id_jugador")
+    dim = (dim.repartition(*to, "_pd") if to else dim).groupBy("_pd").agg(F.min("id_jugador").alias("id_jugador"))
     no_player = joins.match_split(keyed, dim, {"_pk": "_pd"}, NO_DIMENSION)[1].drop("_pk")
     ready = keyed.withColumn("_dated", dates.date_or_null("fecha_fichaje"))
     if positions is None:
         ready = ready.withColumn("posicion", text.position_name("posicion"))
     else:
         ready = joins.lookup(ready, positions, "posicion", "nombre_raw", "nombre_es", fixed.NO_INFO)
+    if to:
+        ready = ready.select("id_equipo", "id_tm", "temporada", "numero", "posicion", "_dated", "fuente", "_pk").repartition(*to, "_pk")
     season = F.col("temporada").try_cast("int")
 
     def of(some: DataFrame, person: str) -> DataFrame:
