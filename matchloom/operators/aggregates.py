@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import sys
+from functools import reduce
 from typing import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import quantiles
 
+# Functions of this module go to the tasks as code, so that executors need not import it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Triangles of sums that a task holds before it hands them on.
 GROUPS_HELD = 256
 
@@ -77,13 +84,71 @@ def corr_by(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
 
 
 def gram_by(df: DataFrame, key: str, feats: list[str]) -> DataFrame:
-    """Population means and covariances of every feature pair, one small row per group, in one pass."""
-    pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i:]]
-    return df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(f).alias(f"mean_{f}") for f in feats],
-        *[F.covar_pop(a, b).alias(f"cov_{a}__{b}") for a, b in pairs],
-    )
+    """Population means and covariances of every feature pair, one small row per group, in one pass.
+
+    Each partition takes its rows of a group in blocks; the squares of sums of the partitions, of fixed size, are merged around their own
+    means. A covariance is of the rows that have both values; NaN and infinite values make it NaN."""
+    width = len(feats)
+    rows = df.select(F.col(key).alias("_key"), *[F.col(f).cast("double").alias(f"_f{i}") for i, f in enumerate(feats)])
+
+    def squares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        kind, at = pa.null(), TaskContext.get().partitionId()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind = batch.column(0).type
+            columns = [batch.column(1 + i) for i in range(width)]
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
+            given = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in columns])
+            found = pc.dictionary_encode(batch.column(0), null_encoding="encode")
+            of = found.indices.to_numpy(zero_copy_only=False)
+            for g in np.unique(of):
+                name, mine = found.dictionary[int(g)].as_py(), of == g
+                part = (int(mine.sum()), *_square(x[mine], given[mine]))
+                held[name] = _merged(held[name], part) if name in held else part
+        if held:
+            flat = [pa.array([v[i].ravel().tolist() for v in held.values()], pa.list_(pa.float64())) for i in (1, 2, 3)]
+            yield pa.record_batch([pa.array(list(held), kind), pa.array([at] * len(held), pa.int32()), pa.array([v[0] for v in held.values()], pa.int64()), *flat],
+                                  ["_key", "_at", "_rows", "_n", "_mean", "_co"])
+
+    def whole(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_at").to_pydict()
+        parts = [(n, *(np.array(m, dtype="float64").reshape(width, width) for m in ms)) for n, *ms in zip(rows["_rows"], rows["_n"], rows["_mean"], rows["_co"])]
+        count, n, mean, co = reduce(_merged, parts)
+        out = {"n": pa.array([count], pa.int64())}
+        out |= {f"mean_{f}": pa.array([float(mean[i, i]) if n[i, i] else None], pa.float64()) for i, f in enumerate(feats)}
+        out |= {f"cov_{feats[i]}__{feats[j]}": pa.array([float(co[i, j] / n[i, j]) if n[i, j] else None], pa.float64()) for i in range(width) for j in range(i, width)}
+        return pa.table({"_key": pa.array(rows["_key"][:1], to_arrow_type(kind)), **out})
+
+    names = [f"mean_{f}" for f in feats] + [f"cov_{a}__{b}" for i, a in enumerate(feats) for b in feats[i:]]
+    kind, doubles = df.schema[key].dataType, T.ArrayType(T.DoubleType())
+    found = rows.mapInArrow(squares, T.StructType([T.StructField("_key", kind), T.StructField("_at", T.IntegerType()), T.StructField("_rows", T.LongType()),
+                                                   *[T.StructField(c, doubles) for c in ("_n", "_mean", "_co")]]))
+    merged = found.groupBy("_key").applyInArrow(whole, T.StructType([T.StructField("_key", kind), T.StructField("n", T.LongType()),
+                                                                      *[T.StructField(c, T.DoubleType()) for c in names]]))
+    return merged.withColumnRenamed("_key", key)
+
+
+def _square(x: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per pair of columns: how many rows have both values, the first one's mean over these, and the sum of products around the means."""
+    wild = given & ~np.isfinite(x)
+    sound = given & ~wild
+    shift = np.where(sound, x, 0.0).sum(axis=0) / np.maximum(sound.sum(axis=0), 1)
+    y, v = np.where(sound, x - shift, 0.0), given.astype("float64")
+    n, s = v.T @ v, y.T @ v
+    mean, co = shift[:, None] + s / np.maximum(n, 1), y.T @ y - s * s.T / np.maximum(n, 1)
+    if wild.any():
+        bad = wild.astype("float64").T @ v > 0
+        mean[bad], co[bad | bad.T] = np.nan, np.nan
+    return n, mean, co
+
+
+def _merged(a: tuple, b: tuple) -> tuple:
+    """What `_square` gives for the rows of both, with the number of all rows in front."""
+    (rows, n, mean, co), (more, m, other, also) = a, b
+    both, apart = np.maximum(n + m, 1), other - mean
+    return rows + more, n + m, mean + apart * (m / both), co + also + apart * apart.T * (n * m / both)
 
 
 def covariances_of_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:

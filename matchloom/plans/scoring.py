@@ -6,17 +6,25 @@ leave the executors' partitions.
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+import sys
+from typing import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed, measures, text
 from ..operators import aggregates, filters, ranking
 from ..session import spread, stored
 
+# Functions of this module go to the tasks as code, so that executors need not import it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RATES = {
     "goles_p90": (("goles",), 1),
     "asistencias_p90": (("asistencias",), 1),
@@ -94,14 +102,32 @@ def component_weights(features: DataFrame, group: str, by_group: Mapping[str, Se
                                    "_weight array<double>, var_explicada double")
 
 
-def _standardised(group: str, by_group: Mapping[str, Sequence[str]]) -> Column:
-    """The row's z-scored features in the order of its group."""
-    branches = None
-    for code, names in by_group.items():
-        z = F.array(*[(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) - F.get("_mean", F.lit(i))) / F.get("_dev", F.lit(i))
-                      for i, f in enumerate(names)])
-        branches = F.when(F.col(group) == code, z) if branches is None else branches.when(F.col(group) == code, z)
-    return branches
+def _scored(weights: Mapping[str, tuple], by_group: Mapping[str, Sequence[str]], union: Sequence[str]) -> Callable:
+    """Function of a group and the columns `union`: the row's z-scored features in the order of its group, `z`, and their weighted sum, `s`."""
+    @F.arrow_udf("struct<z: array<double>, s: double>")
+    def scored(group: pa.Array, *columns: pa.Array) -> pa.Array:
+        x = {f: c.to_numpy(zero_copy_only=False) for f, c in zip(union, columns)}
+        of = _codes(group, list(weights))
+        width = np.array([len(by_group[g]) for g in weights] + [0])[of]
+        ends = np.concatenate([[0], np.cumsum(width)])
+        flat, total = np.empty(ends[-1]), np.zeros(len(of))
+        for code, (g, (means, devs, ws)) in enumerate(weights.items()):
+            mine = np.flatnonzero(of == code)
+            for i, f in enumerate(by_group[g]):
+                z = (x[f][mine] - means[i]) / devs[i]
+                flat[ends[mine] + i] = z
+                total[mine] += z * ws[i]
+        none = pa.array(of == len(weights))
+        z = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat), mask=none)
+        return pa.StructArray.from_arrays([z, pa.array(total, mask=of == len(weights))], ["z", "s"])
+
+    return scored
+
+
+def _codes(group: pa.Array, names: Sequence) -> np.ndarray:
+    """Places of the values in `names`; their number for any other."""
+    found = pc.index_in(group, value_set=pa.array(list(names), group.type))
+    return pc.fill_null(found, len(names)).to_numpy(zero_copy_only=False)
 
 
 def component_scores(features: DataFrame, group: str = "posicion_xi",
@@ -110,42 +136,129 @@ def component_scores(features: DataFrame, group: str = "posicion_xi",
     """Adds the score, the explained share and the z-scored features `_z`; the score is NULL in groups below two rows
     and in groups without a configuration."""
     weights = stored(component_weights(features, group, by_group, sign_of))
-    # At most one row per configured group, so the broadcast is bounded by the configuration.
-    joined = features.join(F.broadcast(weights), group, "left").withColumn("_z", _standardised(group, by_group))
-    dot = F.aggregate(F.zip_with("_z", "_weight", lambda z, w: z * w), F.lit(0.0), lambda acc, x: acc + x)
-    return joined.withColumn(score, dot).drop("_feats", "_mean", "_dev", "_weight")
+    # At most one row per configured group, so the broadcast and the weights read here are bounded by the configuration.
+    known = {r[group]: (r["_mean"], r["_dev"], r["_weight"]) for r in weights.orderBy(group).collect()}
+    joined = features.join(F.broadcast(weights.select(group, "var_explicada")), group, "left")
+    union = list(dict.fromkeys(f for fs in by_group.values() for f in fs))
+    filled = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in union]
+    both = joined.withColumn("_s", _scored(known, by_group, union)(F.col(group), *filled))
+    return both.withColumn("_z", F.col("_s.z")).withColumn(score, F.col("_s.s")).drop("_s")
 
 
 UNIT = 1_000_000  # standardised features are whole millionths, so that sums over rows are exact
 MOST_OPEN = 20_000
 
 
-def _centres(rows: DataFrame, group: str, k: int, sizes: Mapping[str, int], most_rounds: int, most_open: int) -> dict[str, list[list[int]]]:
+# Rows whose sums a task adds up before it hands them on: halves of the numbers of so many rows overflow nowhere.
+ROWS_HELD = 1 << 18
+
+
+def _whole(v: np.ndarray) -> np.ndarray:
+    """Millionths, halves rounded away from zero."""
+    v = v * UNIT
+    if not (np.abs(v) < 2.0**63).all():
+        raise ValueError("a standardised feature is no finite number, or too large")
+    low = np.trunc(v)
+    return (low + np.copysign(np.abs(v - low) >= 0.5, v)).astype("int64")
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _whole_vectors(z: pa.Array) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(z), 0).to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_whole(z.flatten().to_numpy(zero_copy_only=False))), mask=z.is_null())
+
+
+def _blocks(codes: np.ndarray, vectors: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The vectors of each code below the number of codes as a matrix, with the places of its rows."""
+    length = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
+    values, begin = vectors.flatten().to_numpy(zero_copy_only=False), np.cumsum(length) - length
+    for code in np.unique(codes):
+        at = np.flatnonzero(codes == code)
+        yield int(code), at, values[begin[at][:, None] + np.arange(length[at[0]])]
+
+
+def _nearest(q: np.ndarray, centre: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row, the first of equally near ones, and in which ring the row lies: by at least how much farther the
+    next centre is, less what the rounding of doubles can make."""
+    far = np.zeros((len(centre), len(q)))
+    for j, c in enumerate(centre):
+        for i, x in enumerate(c):
+            apart = (q[:, i] - x).astype("float64")
+            far[j] += apart * apart
+    part = far.argmin(axis=0)
+    if len(centre) < 2:
+        return part, np.full(len(q), RINGS - 1)
+    one, two = np.sqrt(np.partition(far, 1, axis=0)[:2])
+    margin = two - one - (two + one) * 1e-12 - 1
+    return part, np.minimum(np.floor(np.log2(np.clip(margin, 1.0, 1e18)) * 4).astype("int64"), RINGS - 1)
+
+
+def _counted(rows: DataFrame, group: str, width: int, k: int, centres: Mapping[int, list[list[int]]] | None = None) -> list:
+    """Per group, cluster and ring: (group, cluster, ring, rows, sums of the features), added up in the partitions first. Without
+    `centres` the cluster is the column `_part`."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen = {}, 0
+
+        def out() -> pa.RecordBatch:
+            keys = [(code, key) for code, (n, _, _) in held.items() for key in np.flatnonzero(n)]
+            sums = [pa.array([held[code][h][key].tolist() for code, key in keys], pa.list_(pa.int64())) for h in (1, 2)]
+            columns = [pa.array(v, pa.int32()) for v in ([c for c, _ in keys], [int(x) // RINGS for _, x in keys], [int(x) % RINGS for _, x in keys])]
+            batch = pa.record_batch([*columns, pa.array([int(held[c][0][x]) for c, x in keys], pa.int64()), *sums], [group, "_part", "_ring", "n", "hi", "lo"])
+            held.clear()
+            return batch
+
+        for batch in batches:
+            for code, at, q in _blocks(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)):
+                if centres is None:
+                    key = batch.column(2).to_numpy(zero_copy_only=False)[at].astype("int64") * RINGS
+                elif code in centres:
+                    part, ring = _nearest(q, centres[code])
+                    key = part * RINGS + ring
+                else:
+                    continue
+                if code not in held:
+                    held[code] = np.zeros(k * RINGS, "int64"), np.zeros((k * RINGS, width), "int64"), np.zeros((k * RINGS, width), "int64")
+                order = np.argsort(key, kind="stable")
+                keys, starts = np.unique(key[order], return_index=True)
+                n, hi, lo = held[code]
+                n[keys] += np.diff(np.append(starts, len(key)))
+                hi[keys, : q.shape[1]] += np.add.reduceat((q >> 20)[order], starts, axis=0)
+                lo[keys, : q.shape[1]] += np.add.reduceat((q & 0xFFFFF)[order], starts, axis=0)
+            seen += batch.num_rows
+            if seen >= ROWS_HELD:
+                yield out()
+                seen = 0
+        if held:
+            yield out()
+
+    few = rows.select(group, "_q", *(["_part"] if centres is None else []))
+    found = few.mapInArrow(count, f"{group} int, _part int, _ring int, n bigint, hi array<bigint>, lo array<bigint>")
+    sums = [F.sum(F.get(h, F.lit(i)).cast("decimal(20,0)")).alias(f"{h}{i}") for i in range(width) for h in ("hi", "lo")]
+    return [(r[group], r["_part"], r["_ring"], r["n"], [(int(r[f"hi{i}"]) << 20) + int(r[f"lo{i}"]) for i in range(width)])
+            for r in found.groupBy(group, "_part", "_ring").agg(F.sum("n").alias("n"), *sums).collect()]
+
+
+def _centres(rows: DataFrame, group: str, k: int, sizes: Mapping[int, int], widths: Mapping[int, int], most_rounds: int, most_open: int) -> dict[int, list[list[int]]]:
     """Centres of each group's clusters: Lloyd rounds for all groups together until no centre moves, as many as can be told in each pass.
 
     The first centres are the means of k equal parts of the group in the order of (score, hash of the features). Means of whole numbers are
     rounded halves up, so nothing depends on the order or the place of the rows."""
-    width = max((len(r["_q"]) for r in rows.select("_q").groupBy(F.size("_q")).agg(F.first("_q").alias("_q")).collect()), default=0)
-    sums = [F.sum(F.get("_q", F.lit(i)).cast("decimal(18,0)")).alias(f"s{i}") for i in range(width)]
-
-    def total(r) -> list[int]:
-        return [int(r[f"s{i}"]) for i in range(width) if r[f"s{i}"] is not None]
-
+    width = max(widths.values(), default=0)
     place = F.struct(F.col("_score").alias("s"), F.xxhash64("_q").alias("h"))
     ranked = ranking.rank_table(rows.select(group, "_score", F.xxhash64("_q").alias("_h")), [group], [("_score", "asc"), ("_h", "asc")], "_rank")
-    begins = rows.sparkSession.createDataFrame([(g, j, -(-j * n // k) + 1) for g, n in sizes.items() for j in range(1, k)], "_g string, _j int, _r int")
+    begins = rows.sparkSession.createDataFrame([(g, j, -(-j * n // k) + 1) for g, n in sizes.items() for j in range(1, k)], "_g int, _j int, _r int")
     cuts = ranked.join(F.broadcast(begins), (F.col(group) == F.col("_g")) & (F.col("_rank") == F.col("_r"))).groupBy("_g").agg(F.collect_list(F.struct(F.col("_score").alias("s"), F.col("_h").alias("h"))).alias("_cuts"))
     cut = rows.join(F.broadcast(stored(cuts)), F.col(group) == F.col("_g"))
-    parts = cut.withColumn("_part", F.size(F.filter("_cuts", lambda c: c <= place))).groupBy(group, "_part").agg(F.count(F.lit(1)).alias("n"), *sums)
-    first = {(r[group], r["_part"]): _mean(r["n"], total(r)) for r in parts.collect()}
+    passed = [F.coalesce((F.get("_cuts", F.lit(j)) <= place).cast("int"), F.lit(0)) for j in range(k - 1)]
+    parts = _counted(cut.withColumn("_part", sum(passed, F.lit(0))), group, width, k)
+    first = {(g, j): _mean(n, total[:widths[g]]) for g, j, _, n, total in parts}
     centres = {g: [first[g, j] for j in range(k) if (g, j) in first] for g in sizes}
     left = dict.fromkeys(sizes, most_rounds)
     while still := {g: centres[g] for g in sizes if left[g] > 0}:
         # One pass over all rows: sums by cluster, and how many rows lie how near to the border between two clusters.
-        seen = _nearest(rows, group, still).withColumn("_ring", _ring())
-        counted: dict[str, list] = {g: [] for g in still}
-        for r in seen.groupBy(group, "_part", "_ring").agg(F.count(F.lit(1)).alias("n"), *sums).collect():
-            counted[r[group]].append((r["_ring"], r["_part"], r["n"], total(r)))
+        counted: dict[int, list] = {g: [] for g in still}
+        for g, part, ring, n, total in _counted(rows, group, width, k, still):
+            counted[g].append((ring, part, n, total[:widths[g]]))
         going = {}
         for g, old in still.items():
             n, s, near = [0] * len(old), [[0] * len(c) for c in old], 0
@@ -167,7 +280,7 @@ def _centres(rows: DataFrame, group: str, k: int, sizes: Mapping[str, int], most
             if left[g] and 2 * _moved(old, centres[g]) < clear:
                 going[g] = (ring, clear, old, centres[g], n, s, left[g])
         if going:
-            for r in _go_on(seen, group, going).collect():
+            for r in _go_on(rows, group, going).collect():
                 centres[r[group]], left[r[group]] = [list(c) for c in r["_c"]], r["_left"]
     return centres
 
@@ -185,18 +298,24 @@ def _moved(before: Sequence[Sequence[int]], after: Sequence[Sequence[int]]) -> f
 RINGS = 240
 
 
-def _ring() -> Column:
-    return F.floor(F.log2(F.greatest(F.lit(1.0), F.least(F.lit(1e18), F.col("_margin")))) * 4).cast("int")
-
-
-def _go_on(seen: DataFrame, group: str, going: Mapping[str, tuple]) -> DataFrame:
+def _go_on(rows: DataFrame, group: str, going: Mapping[int, tuple]) -> DataFrame:
     """Further rounds of groups of which few rows are near a border: one task a group takes these rows only, adds the sums of all
     others, and stops when a centre has moved so far that others could change."""
-    inner = seen.sparkSession.createDataFrame([(g, state[0]) for g, state in going.items()], "_g string, _inner int")
-    near = seen.join(F.broadcast(inner), F.col(group) == F.col("_g")).filter("_ring < _inner").select(group, "_q", "_part")
+    inside = {g: (state[0], state[2]) for g, state in going.items()}
+
+    def bordering(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for code, at, q in _blocks(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)):
+                if code in inside:
+                    part, ring = _nearest(q, inside[code][1])
+                    close = np.flatnonzero(ring < inside[code][0])
+                    if len(close):
+                        yield pa.record_batch([pa.array(np.full(len(close), code, "int32")), batch.column(1).take(pa.array(at[close])), pa.array(part[close].astype("int32"))], [group, "_q", "_part"])
+
+    near = rows.select(group, "_q").mapInArrow(bordering, f"{group} int, _q array<bigint>, _part int")
 
     def rounds(key, pdf):
-        _, clear, base, centre, n, s, left = going[key[0]]
+        _, clear, base, centre, n, s, left = going[int(key[0])]
         k, width = len(base), len(base[0])
         q = np.array(pdf["_q"].tolist(), dtype="int64").reshape(len(pdf), width)
 
@@ -213,38 +332,16 @@ def _go_on(seen: DataFrame, group: str, going: Mapping[str, tuple]) -> DataFrame
         rest_n = [a - b for a, b in zip(n, m)]
         rest_s = [[x - y for x, y in zip(a, b)] for a, b in zip(s, t)]
         while left > 0 and 2 * max(sum(float(a - b) ** 2 for a, b in zip(c, d)) ** 0.5 for c, d in zip(base, centre)) < clear:
-            far = np.zeros((k, len(q)))
-            for j in range(k):
-                for i in range(width):  # added up in the order of the features, as in `_nearest`
-                    apart = (q[:, i] - centre[j][i]).astype("float64")
-                    far[j] += apart * apart
-            m, t = sums(far.argmin(axis=0))
+            m, t = sums(_nearest(q, centre)[0])
             after = []
             for j in range(k):
                 of = rest_n[j] + m[j]
                 after.append([(2 * (a + b) + of) // (2 * of) for a, b in zip(rest_s[j], t[j])] if of else centre[j])
             left = left - 1 if after != centre else 0
             centre = after
-        return pd.DataFrame({group: [key[0]], "_c": [centre], "_left": [left]})
-
-    return near.groupBy(group).applyInPandas(rounds, f"{group} string, _c array<array<bigint>>, _left int")
+        return pd.DataFrame({group: [int(key[0])], "_c": [centre], "_left": [left]})
 
-
-def _nearest(rows: DataFrame, group: str, centres: Mapping[str, list[list[int]]]) -> DataFrame:
-    """Columns `_part`: the nearest centre of the row's group, the first of equally near ones, and `_margin`: at least how much farther
-    the next one is, less what the rounding of doubles can make. There are k centres a configured group, so the broadcast is bounded by
-    the configuration."""
-    spark = rows.sparkSession
-    known = spark.createDataFrame(list(centres.items()), "_g string, _c array<array<bigint>>")
-
-    def far(c: Column) -> Column:  # doubles, added up in the order of the features
-        return F.aggregate(F.zip_with("_q", c, lambda a, b: (a - b).cast("double")), F.lit(0.0), lambda t, d: t + d * d)
-
-    by_distance = F.sort_array(F.transform("_c", lambda c, j: F.struct(far(c).alias("d"), j.alias("j"))))
-    one, two = F.sqrt(F.get("_by", F.lit(0))["d"]), F.sqrt(F.get("_by", F.lit(1))["d"])
-    margin = F.coalesce(two - one - (two + one) * 1e-12 - 1, F.lit(1e18))
-    near = rows.join(F.broadcast(known), F.col(group) == F.col("_g")).withColumn("_by", by_distance)
-    return near.withColumn("_part", F.get("_by", F.lit(0))["j"]).withColumn("_margin", margin).drop("_g", "_c", "_by")
+    return near.groupBy(group).applyInPandas(rounds, f"{group} int, _c array<array<bigint>>, _left int")
 
 
 def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
@@ -255,24 +352,44 @@ def cluster_levels(scored: DataFrame, group: str = "posicion_xi",
     Groups with fewer than 2k rows get no level; one with many equal rows can have fewer than k levels. The levels do not depend
     on the order or the partitions of the rows, nor on `most_open`, the rows of a group near a border that one task may take to go on with
     the rounds. `scored` is read twice: for the features, which are stored, and for the result."""
-    whole = F.transform("_z", lambda z: F.round(z * UNIT).cast("bigint"))
-    known = F.coalesce(F.col(group).isin(list(by_group)), F.lit(False))
-    rows = stored(scored.filter(known & F.col("_z").isNotNull()).select(group, whole.alias("_q"), F.round(F.col(score) * UNIT).cast("bigint").alias("_score")))
-    sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect() if r["n"] >= 2 * k}
-    inside = F.coalesce(F.col(group).isin(list(sizes)), F.lit(False))
-    rows = spread(rows.filter(inside))
-    centres = _centres(rows, group, k, sizes, most_rounds, most_open)
+    names = list(by_group)
+    widths = {code: len(by_group[g]) for code, g in enumerate(names)}
+    code = (F.array_position(F.array(*map(F.lit, names)), F.col(group)) - 1).cast("int").alias("_code")
+    known = F.coalesce(F.col(group).isin(names), F.lit(False))
+    rows = scored.filter(known).select(code, _whole_vectors("_z").alias("_q"), F.round(F.col(score) * UNIT).cast("bigint").alias("_score"))
+    rows = stored(rows.filter("_q IS NOT NULL"))
+    sizes = {r["_code"]: r["n"] for r in rows.groupBy("_code").agg(F.count(F.lit(1)).alias("n")).orderBy("_code").collect() if r["n"] >= 2 * k}
+    inside = rows.filter(F.col("_code").isin(list(sizes)))
+    rows = spread(inside)
+    rows = inside if rows is inside else stored(rows)  # a small table moves once, not in each pass
+    centres = _centres(rows, "_code", k, sizes, {c: widths[c] for c in sizes}, most_rounds, most_open)
+
+    @F.arrow_udf("int")
+    def cluster(codes: pa.Array, q: pa.Array) -> pa.Array:
+        of = codes.to_numpy(zero_copy_only=False)
+        part = np.zeros(len(of), "int32")
+        for c, at, block in _blocks(of, q):
+            part[at] = _nearest(block, centres[c])[0]
+        return pa.array(part)
+
     mean = F.sum(F.col("_score").cast("decimal(18,0)")) / F.count(F.lit(1))
-    order = sorted((r[group], r["m"], r["_part"]) for r in _nearest(rows, group, centres).groupBy(group, "_part").agg(mean.alias("m")).collect())
-    number: dict[str, list[int | None]] = {g: [None] * len(cs) for g, cs in centres.items()}
-    for g in centres:
-        for i, j in enumerate(j for h, _, j in order if h == g):
-            number[g][j] = i
-    names = scored.sparkSession.createDataFrame(list(number.items()), "_g string, _number array<int>")
-    placed = _nearest(scored.filter(inside).withColumn("_q", whole), group, centres).join(F.broadcast(names), F.col(group) == F.col("_g"))
-    placed = placed.withColumn("nivel_num", F.get("_number", F.col("_part"))).drop("_g", "_number", "_part", "_margin", "_q")
-    rest = scored.filter(~inside).withColumn("nivel_num", F.lit(None).cast("int"))
-    return rest.unionByName(placed).withColumn("nivel", text.map_label("nivel_num", dict(enumerate(fixed.LEVELS))))
+    order = sorted((r["_code"], r["m"], r["_part"]) for r in rows.withColumn("_part", cluster("_code", "_q")).groupBy("_code", "_part").agg(mean.alias("m")).collect())
+    number: dict[int, list[int]] = {c: [-1] * len(cs) for c, cs in centres.items()}
+    for c in centres:
+        for i, j in enumerate(j for d, _, j in order if d == c):
+            number[c][j] = i
+
+    @F.arrow_udf("int")
+    def level(groups: pa.Array, z: pa.Array) -> pa.Array:
+        of = np.where(z.is_null().to_numpy(zero_copy_only=False), len(names), _codes(groups, names))
+        found = np.full(len(of), -1, "int32")
+        for c, at, block in _blocks(of, z):
+            if c in centres:
+                found[at] = np.array(number[c], "int32")[_nearest(_whole(block), centres[c])[0]]
+        return pa.array(found, mask=found < 0)
+
+    leveled = scored.withColumn("nivel_num", level(F.col(group), "_z"))
+    return leveled.withColumn("nivel", text.map_label("nivel_num", dict(enumerate(fixed.LEVELS))))
 
 
 def score_players(stats: DataFrame, squads: DataFrame, as_of: Column | None = None,
