@@ -277,9 +277,12 @@ class League:
 
     @cached_property
     def squads_split(self):
-        # A line item makes at most one squad row.
-        tasks = tasks_of(self.table("lineitem").count(), SQUAD_ROWS_A_TASK)
-        return silver.squads(self.raw_squads, self.tb_catalog, self.tb_players, None, self.as_of, tasks)
+        return silver.squads(self.raw_squads, self.tb_catalog, self.tb_players, None, self.as_of, self.squad_tasks)
+    @cached_property
+    def squad_tasks(self) -> int:
+        """A line item makes at most one squad row."""
+        return tasks_of(self.table("lineitem").count(), SQUAD_ROWS_A_TASK)
+
 
     @cached_property
     def coaches(self) -> DataFrame:

@@ -102,7 +102,7 @@ _FIX_PLACE = "[" + ", ".join(f"'{p}'" for p in PLACES) + "][CAST(s.p_size % 13 A
     season AS temporada, CAST(number AS VARCHAR) AS numero_camiseta, {_FIX_PLACE} AS posicion, CAST(CAST(signed AS DATE) AS VARCHAR) AS fecha_fichaje FROM sb s JOIN md_plantillas m USING (l_partkey)
     WHERE l_suppkey IN (SELECT s_suppkey FROM known)""")
 def _(L: League):
-    kept, _rejects = silver.patch_squads(L.raw_squads, L.tb_catalog, L.tb_players, L.as_of)
+    kept, _rejects = silver.patch_squads(L.raw_squads, L.tb_catalog, L.tb_players, L.as_of, L.squad_tasks)
     return kept.select("id_plantilla_equipo", "id_equipo", "id_jugador", "temporada", "numero_camiseta", "posicion", "fecha_fichaje")
 
 

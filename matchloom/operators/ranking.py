@@ -98,6 +98,22 @@ def split_duplicates(df: DataFrame, keys: Sequence[str], order: Order,
     return kept, rejected
 
 
+def split_duplicates_near(df: DataFrame, keys: Sequence[str], order: Order, near: str, whole: str,
+                          reason: str = "DUPLICADO_CLAVE") -> tuple[DataFrame, DataFrame]:
+    """`split_duplicates` for keys with few copies, without a move, a written table or a second pass over the rows: where the column `whole`
+    is true, all rows of a key have one value of `near`, by which they lie together already. Both columns are dropped."""
+    parts = [(F.col(whole), [near, *keys]), (~F.col(whole), keys)]
+
+    def half(first: bool) -> DataFrame:
+        found = []
+        for some, by in parts:
+            ranked = df.filter(some).withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*sort_columns(order))))
+            found.append(ranked.filter(F.col("_rn") == 1 if first else F.col("_rn") > 1).drop("_rn", near, whole))
+        return found[0].unionByName(found[1])
+
+    return half(True), half(False).withColumn(REASON, F.lit(reason))
+
+
 def number_slots(slots: DataFrame) -> DataFrame:
     w = Window.partitionBy("id_formacion", "posicion_xi").orderBy("orden")
     return slots.withColumn("slot_rank", F.row_number().over(w))

@@ -349,26 +349,31 @@ def patch_players(raw: DataFrame) -> DataFrame:
     return filters.any_not_null(latest, ["pie", "altura", "valor_mercado"]).drop("temporada")
 
 
-def patch_squads(raw: DataFrame, catalog: DataFrame, players_dim: DataFrame, as_of: Column | None = None) -> Split:
-    """Squads rebuilt by player name; unknown teams and players and further rows of a key are rejected."""
+def patch_squads(raw: DataFrame, catalog: DataFrame, players_dim: DataFrame, as_of: Column | None = None, tasks: int | None = None) -> Split:
+    """Squads rebuilt by player name; unknown teams and players and further rows of a key are rejected. `tasks` as in `squads`."""
     columns = ["club", "temporada", "jugador", "numero", "posicion", "fecha_fichaje", "fuente"]
-    rows = one_per(shape.select_or_null(raw, columns), ["club", "temporada", "jugador"])
-    with_id, no_team = with_team(rows, catalog)
-    dim = players_dim.select(text.join_name("jugador").alias("_player"), "id_jugador").filter(F.col("_player").isNotNull())
+    # Rows of a name move together, without their hash, as in `squads`.
+    near = F.coalesce(F.nullif(F.trim("jugador"), F.lit("")), "club")
+    given = shape.select_or_null(raw, columns).withColumn("_near", near).repartition(*([tasks] if tasks else []), "_near")
+    rows = ranking.top_row_per_key(_by_row(given, columns), ["_near", "club", "temporada", "jugador"], [("_tie", "asc")])
+    with_id, no_team = with_team(rows.select(*columns), catalog)
+    # The hashes travel as bytes, which have the order of their texts.
+    dim = players_dim.select(text.join_name("jugador").alias("_player"), text.packed_key("id_jugador").alias("id_jugador")).filter(F.col("_player").isNotNull())
+    dim = dim.withColumn("_alone", F.count(F.lit(1)).over(Window.partitionBy("id_jugador")) == 1)
     named = with_id.withColumn("_name", text.join_name("jugador"))
-    keyed, no_player = joins.match_split(named, dim, {"_name": "_player"}, "SIN_MATCH_MD_PLANTILLAS", ["id_jugador"])
+    keyed, no_player = joins.match_split(named, dim, {"_name": "_player"}, "SIN_MATCH_MD_PLANTILLAS", ["id_jugador", "_alone"])
     season = F.col("temporada").try_cast("int")
     place = text.position_name("posicion", fixed.PATCH_POSITION_NAMES)
+    key = text.surrogate_key("id_equipo", text.unpacked_key("id_jugador"), "temporada", text.join_name(place))
     table = keyed.select(
-        text.surrogate_key("id_equipo", "id_jugador", "temporada", text.join_name(place)).alias("id_plantilla_equipo"),
+        text.packed_key(key).alias("id_plantilla_equipo"),
         "id_equipo", "id_jugador", F.lit(None).cast("string").alias("id_tm"), season.alias("temporada"),
         text.default_if_placeholder("numero").alias("numero_camiseta"), text.title(place).alias("posicion"),
         dates.date_or_null("fecha_fichaje").alias("fecha_fichaje"), F.col("fuente").alias("fuente_plantilla"),
-        _now(as_of).alias("fecha_carga"), season.alias("periodo"))
-    # The hashes travel as bytes, which have the order of their texts.
-    hashes = ["id_plantilla_equipo", "id_jugador"]
-    halves = ranking.split_duplicates(table.withColumns({c: text.packed_key(c) for c in hashes}), ["id_equipo", "id_jugador", "temporada"],
-                                      [("id_plantilla_equipo", "asc"), ("numero_camiseta", "asc")])
-    kept, repeated = (half.withColumns({c: text.unpacked_key(c) for c in hashes}) for half in halves)
+        _now(as_of).alias("fecha_carga"), season.alias("periodo"), "_name", "_alone")
+    # Rows of a player with one name lie together after the join by name; only players of several names move again.
+    halves = ranking.split_duplicates_near(table, ["id_equipo", "id_jugador", "temporada"],
+                                           [("id_plantilla_equipo", "asc"), ("numero_camiseta", "asc")], "_name", "_alone")
+    kept, repeated = (half.withColumns({c: text.unpacked_key(c) for c in ("id_plantilla_equipo", "id_jugador")}) for half in halves)
     rejected = no_team.unionByName(no_player.drop("_name"), allowMissingColumns=True)
     return kept, rejected.unionByName(repeated, allowMissingColumns=True)
