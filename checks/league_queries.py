@@ -144,8 +144,7 @@ league_query("V06_estadisticas_jugadores", dated("*", "(SELECT * REPLACE (round(
     lambda L: L.stats_view.withColumn("ppp", F.round("ppp", 6)))
 league_query("V07_formaciones_con_jugadores", """SELECT s.id_formacion, s.slot, s.orden, s.x_coord, s.y_coord, s.posicion_xi, count(DISTINCT v.id_jugador) AS jugadores FROM slots s
     LEFT JOIN stats_vw v USING (posicion_xi) GROUP BY ALL""")(
-    lambda L: views.formation_slots(L.spark).join(L.stats_view.select("posicion_xi", "id_jugador"), "posicion_xi", "left")
-    .groupBy("id_formacion", "slot", "orden", "x_coord", "y_coord", "posicion_xi").agg(F.count_distinct("id_jugador").alias("jugadores")))
+    lambda L: views.players_per_slot(L.stats_view).select("id_formacion", "slot", "orden", "x_coord", "y_coord", "posicion_xi", "jugadores"))
 
 _W = {"DC": (8, 3, 100, .5, 1, 2, True), "EI": (6, 5, 100, .5, 1, 2, True), "ED": (6, 5, 100, .5, 1, 2, True), "MCO": (5, 6, 100, .3, 1.5, 1.5, True), "MC": (3, 4, 100, .3, 1.5, 1.5, True),
       "MCD": (2, 3, 100, .3, 2, 1.5, False), "DFC": (0, 0, 80, .3, 2, 1, False), "LD": (0, 2, 90, .3, 1.5, 1, False), "LI": (0, 2, 90, .3, 1.5, 1, False)}

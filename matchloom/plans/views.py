@@ -102,6 +102,16 @@ def formation_slots(spark: SparkSession) -> DataFrame:
         fixed.SLOTS, "id_formacion int, slot string, orden int, posicion_xi string, x_coord int, y_coord int")
 
 
+def players_per_slot(stats_view: DataFrame) -> DataFrame:
+    """Every slot of the formations with the number of different players of its position.
+
+    Players are told apart and counted per position before they meet the slots: the slots are the side that a left join keeps, so the
+    rows of a position could neither stay where they are nor be split, and there are few positions."""
+    person = text.packed_key("id_jugador").alias("_player")
+    players = stats_view.select("posicion_xi", person).distinct().groupBy("posicion_xi").agg(F.count("_player").alias("jugadores"))
+    return formation_slots(stats_view.sparkSession).join(players, "posicion_xi", "left").withColumn("jugadores", F.coalesce("jugadores", F.lit(0)))
+
+
 def squad_history_view(history: DataFrame) -> DataFrame:
     """Adds the age in the season; the clock is the load time of the row."""
     aged = history.withColumn("edad_historica", dates.historical_age("edad", "fecha_carga", "temporada"))
